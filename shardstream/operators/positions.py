@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from shardstream.model import RECORD, SHARD, TRIM_HORIZON, check_position
@@ -43,50 +43,106 @@ def shard_positions(
 def read_records(log: DataFrame, positions: DataFrame, limit_per_shard: int) -> DataFrame:
     """The next ``limit_per_shard`` records of each shard, from its position on.
 
-    Which sequence numbers these are is settled first, on the key columns alone
-    and right away; the payloads are then read by a scan and a join with one row
-    per shard, with no shuffle or sort of their own.
+    Which sequence numbers these are is settled first and right away, on the key
+    columns alone: one scan counts the unread records by their distance from the
+    position, a second one ranks those near enough to matter. Neither sorts or
+    shuffles the backlog. The payloads are then read by a scan and a join with one
+    row per shard.
     """
-    return _between(log, pin(_page_bounds(log, positions, limit_per_shard), "page"))
-
-
-def _page_bounds(log: DataFrame, positions: DataFrame, limit_per_shard: int) -> DataFrame:
     if limit_per_shard < 0:
         raise ValueError(f"limit_per_shard must not be negative, but is {limit_per_shard}")
-    spark = log.sparkSession
-    # A shard may hold most of the log. Its keys are spread over as many parts as
-    # a shuffle has, each part keeps its own lowest numbers, and only those meet.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    unread = (
-        log.select(*SHARD, "sequence_number")
-        .join(pin(positions, "positions"), SHARD)
-        .where("sequence_number >= next_sequence")
-        .withColumn("part", F.pmod(F.xxhash64("sequence_number"), F.lit(parts)))
+    keys = log.select(*SHARD, "sequence_number")
+    unread = positions.select(
+        *SHARD,
+        F.col("next_sequence").alias("first_sequence"),
+        F.lit(_OPEN_END).alias("last_sequence"),
     )
-    lowest = _first_by_sequence(unread, [*SHARD, "part"], limit_per_shard)
-    page = _first_by_sequence(lowest, SHARD, limit_per_shard)
-    return page.groupBy(*SHARD).agg(
-        F.min("sequence_number").alias("first_sequence"),
-        F.max("sequence_number").alias("last_sequence"),
+    near = _near_ranges(_within(keys, unread, "unread"), limit_per_shard)
+    page = _page_ranges(_within(keys, near, "near"), limit_per_shard)
+    return _within(log, page, "page").select(
+        [name for name in log.columns if name in RECORD.fieldNames()]
     )
 
 
-def _first_by_sequence(records: DataFrame, group: list[str], n: int) -> DataFrame:
-    in_group = Window.partitionBy(*group).orderBy("sequence_number")
-    return records.withColumn("at", F.row_number().over(in_group)).where(F.col("at") <= n).drop("at")
+_OPEN_END = 2**63 - 1
 
 
-def _between(log: DataFrame, bounds: DataFrame) -> DataFrame:
-    # Always true, but it marks the bounds as selective: Spark then also uses the
-    # join to skip the directories of shards that have nothing to read.
-    bounds = bounds.where("first_sequence <= last_sequence")
+def _within(log: DataFrame, ranges: DataFrame, purpose: str) -> DataFrame:
+    """The records inside the range of their shard, from its first to its last sequence number.
+
+    The ranges are written to the shared folder. The overall range, seen on the way,
+    goes into the scan as a filter, so that a log written in order skips the files
+    outside it. The comparison in the join's small side marks it as selective: Spark
+    then also skips the directories of shards not in it.
+    """
+    overall = Observation()
+    ranges = pin(
+        ranges.observe(
+            overall,
+            F.min("first_sequence").alias("low"),
+            F.max("last_sequence").alias("high"),
+        ),
+        purpose,
+    )
     return (
-        log.join(bounds, SHARD)
+        log.where(F.col("sequence_number").between(overall.get["low"], overall.get["high"]))
+        .join(ranges.where("first_sequence <= last_sequence"), SHARD)
         .where("sequence_number between first_sequence and last_sequence")
-        .select([name for name in log.columns if name in RECORD.fieldNames()])
     )
 
 
+def _near_ranges(unread: DataFrame, limit: int) -> DataFrame:
+    """Per shard a range that holds its next ``limit`` records, and seldom many more.
+
+    Records fall into zones that double in width with the distance, so a shard has
+    at most some sixty. Zones count until the ones before them hold the limit.
+    """
+    distance = F.col("sequence_number") - F.col("first_sequence")
+    zones = (
+        unread.withColumn("zone", F.floor(F.log2(distance / max(limit, 1) + 1)))
+        .groupBy(*SHARD, "first_sequence", "zone")
+        .agg(F.count("*").alias("records"), F.max("sequence_number").alias("last_sequence"))
+    )
+    nearer = Window.partitionBy(*SHARD).orderBy("zone").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        zones.withColumn("before", F.coalesce(F.sum("records").over(nearer), F.lit(0)))
+        .where(F.col("before") < limit)
+        .groupBy(*SHARD)
+        .agg(
+            F.first("first_sequence").alias("first_sequence"),
+            F.max("last_sequence").alias("last_sequence"),
+        )
+    )
+
+
+def _page_ranges(near: DataFrame, limit: int) -> DataFrame:
+    """Per shard the exact range of its next ``limit`` records.
+
+    The keys of a shard are ranked in as many parts as a shuffle has, and only the
+    first of each part together, so that no task ranks all keys of a large shard.
+    """
+    parts = int(near.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = near.select(
+        *SHARD,
+        "sequence_number",
+        F.pmod(F.xxhash64("sequence_number"), F.lit(parts)).alias("part"),
+    )
+    kept = _first_by_sequence(keys, [*SHARD, "part"], limit)
+    return (
+        _first_by_sequence(kept, SHARD, limit)
+        .groupBy(*SHARD)
+        .agg(
+            F.min("sequence_number").alias("first_sequence"),
+            F.max("sequence_number").alias("last_sequence"),
+        )
+    )
+
+
+def _first_by_sequence(records: DataFrame, group: list[str], n: int) -> DataFrame:
+    in_group = Window.partitionBy(*group).orderBy("sequence_number")
+    return records.withColumn("at", F.row_number().over(in_group)).where(F.col("at") <= n).drop("at")
+
+
 def advance(positions: DataFrame, batch: DataFrame) -> DataFrame:
     """The positions after ``batch`` was read; a shard without records keeps its own.
 

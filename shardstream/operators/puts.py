@@ -14,12 +14,17 @@ from shardstream.model import RECORD, SHARD
 #: Sequence numbers set aside for one batch in every shard.
 BATCH_SPAN = 1 << 32
 
-#: The default order of the records of a batch within their shard. Records that
-#: tie on all of it are copies of each other.
-ARRIVAL_ORDER = ["arrival_ts", "partition_key", "data"]
+#: The most rows one task numbers; lower it for large payloads.
+ROWS_PER_TASK = 1_000_000
 
-#: The most rows one task numbers.
-ROWS_PER_TASK = 2_000_000
+
+def arrival_order() -> list[Column]:
+    """The default order of the records of a batch within their shard.
+
+    Total but for copies of a record. The payload counts by its digest, because
+    cutting ranges takes a sample of the order columns to the driver.
+    """
+    return [F.col("arrival_ts"), F.col("partition_key"), F.md5("data")]
 
 
 def route_records(records: DataFrame, key: Column | str, shards: int) -> DataFrame:
@@ -33,7 +38,7 @@ def route_records(records: DataFrame, key: Column | str, shards: int) -> DataFra
 
 def number_records(
     routed: DataFrame,
-    order_by: list[str] | None = None,
+    order_by: list[Column | str] | None = None,
     base: int = 0,
     *,
     rows_per_task: int = ROWS_PER_TASK,
@@ -41,13 +46,15 @@ def number_records(
 ) -> DataFrame:
     """Number the records of each shard ``base, base + 1, …`` in the given order.
 
+    The order has to be total but for copies of a record, and made of short columns.
+
     A count per shard comes first. While every shard fits one task, a window per
     shard does the rest. Otherwise the records are range-partitioned on shard and
     order, however few shards there are, and written to ``staging`` (by default a
     new path in the shared folder) with their place; a second pass adds up the
     sizes of the ranges before each. Both ways give the same numbers.
     """
-    order_by = list(order_by or ARRIVAL_ORDER)
+    order_by = order_by or arrival_order()
     spark = routed.sparkSession
     sizes = (
         routed.groupBy(*SHARD)
@@ -62,14 +69,15 @@ def number_records(
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if largest <= rows_per_task and total <= rows_per_task * tasks:
         in_shard = Window.partitionBy(*SHARD).orderBy(*order_by)
-        return routed.withColumn("sequence_number", F.row_number().over(in_shard) + F.lit(base - 1))
+        place = F.row_number().over(in_shard).cast("bigint")
+        return routed.withColumn("sequence_number", place + F.lit(base - 1))
 
     staging = staging or shared.scratch_path(spark, "numbering")
     return _number_by_range(routed, order_by, base, ceil(total / rows_per_task), staging)
 
 
 def _number_by_range(
-    routed: DataFrame, order_by: list[str], base: int, ranges: int, staging: str
+    routed: DataFrame, order_by: list[Column | str], base: int, ranges: int, staging: str
 ) -> DataFrame:
     # "copy" only lets the ranges cut through a run of equal records. The place is
     # (range << 33) + row in range; it is written before anything reads it, since a
@@ -108,7 +116,7 @@ def put_records(
     routed: DataFrame,
     log_dir: str,
     batch_id: int,
-    order_by: list[str] | None = None,
+    order_by: list[Column | str] | None = None,
     *,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> bool:
@@ -130,15 +138,17 @@ def put_records(
         named = routed.withColumn(
             "stream", required(F.nullif("stream", F.lit("")), "a record needs a stream")
         )
-        numbered = number_records(
-            named, order_by, batch_id * BATCH_SPAN, rows_per_task=rows_per_task, staging=staging
-        )
-        (
-            numbered.select([F.col(f.name).cast(f.dataType) for f in RECORD])
-            .write.mode("overwrite")
-            .partitionBy(*SHARD)
-            .parquet(landing)
-        )
-        shared.remove(spark, staging)
+        try:
+            numbered = number_records(
+                named, order_by, batch_id * BATCH_SPAN, rows_per_task=rows_per_task, staging=staging
+            )
+            (
+                numbered.select([F.col(f.name).cast(f.dataType) for f in RECORD])
+                .write.mode("overwrite")
+                .partitionBy(*SHARD)
+                .parquet(landing)
+            )
+        finally:
+            shared.remove(spark, staging)
     shared.move(spark, landing, landed)
     return True

@@ -55,7 +55,7 @@ def _consume_all(spark: SparkSession, log_dir: str, handler, **options) -> None:
 def stream_consume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land ``events`` as a log, stream it through the consumer to text, read the text."""
     out = scratch_path(spark, "text")
-    _consume_all(spark, _landed_events(spark, sf_dir), text_sink(out))
+    _consume_all(spark, _landed_events(spark, sf_dir), text_sink(out), columns=["data"])
     return spark.read.text(out).select("value")
 
 
@@ -67,6 +67,7 @@ def stream_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         _landed_events(spark, sf_dir),
         text_sink(out, files=cores),
+        columns=["data"],
         parallelism=2 * cores,
     )
     return spark.read.text(out).select("value")

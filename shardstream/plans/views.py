@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardstream import read_log, route_records
@@ -57,7 +57,7 @@ def lineitem_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return route_records(lines, "l_linestatus", SHARDS)
 
 
-def log_values(spark: SparkSession, log_dir: str, *columns: str | Column) -> DataFrame:
+def log_values(spark: SparkSession, log_dir: str) -> DataFrame:
     """Records of a log with the payload as text, in the columns the SQL side has."""
     names = [name for name in RECORD.fieldNames() if name != "data"]
     return read_log(spark, log_dir).select(*names, F.col("data").cast("string").alias("value"))

@@ -63,7 +63,7 @@ def record_stream(
     position: str = TRIM_HORIZON,
     start: str | None = None,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     require_data: bool = True,
     options: dict[str, str] | None = None,
 ) -> DataFrame:

@@ -76,15 +76,20 @@ def consume(
     checkpoint: str,
     *,
     stream: str | None = None,
+    columns: list[str] | None = None,
     position: str = TRIM_HORIZON,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     require_data: bool = True,
     source_options: dict[str, str] | None = None,
     **dispatch_options,
 ) -> StreamingQuery:
     """Consume a record log from the oldest or the newest record on.
 
+    ``columns`` names the record columns the handler needs. They are best given: a
+    batch reads what was asked for here, whatever its handler then selects. At least
+    ``data`` belongs to them, unless ``decode_errors`` is ``None``.
+
     Progress is kept in ``checkpoint``, one per consumer: a restart goes on behind
     the last finished batch. Raises ``ValueError`` on a missing or empty log unless
     ``require_data`` is off. The further options are those of ``dispatch``.
@@ -100,4 +105,6 @@ def consume(
         require_data=require_data,
         options=source_options,
     )
+    if columns is not None:
+        records = records.select(columns)
     return dispatch(records, handler, checkpoint, **dispatch_options)

@@ -32,7 +32,7 @@ def put_sink(
     log_dir: str,
     shards: int,
     key: Column | str = "partition_key",
-    order_by: list[str] | None = None,
+    order_by: list[Column | str] | None = None,
 ) -> Handler:
     """Route each batch to the shards of another log and land it there.
 
