@@ -50,7 +50,7 @@ def number_records(
 
     A count per shard comes first. While every shard fits one task, a window per
     shard does the rest. Otherwise the records are range-partitioned on shard and
-    order, however few shards there are, and written to ``staging`` (by default a
+    order, however few shards there are, and written below ``staging`` (by default a
     new path in the shared folder) with their place; a second pass adds up the
     sizes of the ranges before each. Both ways give the same numbers.
     """
@@ -76,22 +76,34 @@ def number_records(
     return _number_by_range(routed, order_by, base, ceil(total / rows_per_task), staging)
 
 
+def _columns(names: list[Column | str]) -> list[Column]:
+    return [F.col(name) if isinstance(name, str) else name for name in names]
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _number_by_range(
     routed: DataFrame, order_by: list[Column | str], base: int, ranges: int, staging: str
 ) -> DataFrame:
-    # "copy" only lets the ranges cut through a run of equal records. The place is
-    # (range << 33) + row in range; it is written before anything reads it, since a
-    # second run of the shuffle could cut the ranges elsewhere.
-    placed = (
-        routed.withColumn("copy", F.monotonically_increasing_id())
-        .repartitionByRange(ranges, *SHARD, *order_by, "copy")
-        .sortWithinPartitions(*SHARD, *order_by)
-        .drop("copy")
+    # The ranges may cut through a run of equal records, which only their position
+    # tells apart. Positions, and ranges once cut, have to be the same for whoever
+    # reads them and after a task is lost, so both are written before they are used.
+    order = {f"order_{at}": by for at, by in enumerate(_columns(order_by))}
+    given = _written(routed, f"{staging}/given")
+    placed = _written(
+        given.withColumns({**order, "position": F.monotonically_increasing_id()})
+        .repartitionByRange(ranges, *SHARD, *order, "position")
+        .drop("position")
+        .sortWithinPartitions(*SHARD, *order)
+        .drop(*order)
+        # (range << 33) + row in the range
         .withColumn("place", F.monotonically_increasing_id())
-        .withColumn("range", F.shiftright("place", 33))
+        .withColumn("range", F.shiftright("place", 33)),
+        f"{staging}/placed",
     )
-    placed.write.mode("overwrite").parquet(staging)
-    placed = routed.sparkSession.read.schema(placed.schema).parquet(staging)
 
     # At most one row per range and one per shard.
     runs = placed.groupBy(*SHARD, "range").agg(

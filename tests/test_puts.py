@@ -143,7 +143,7 @@ def test_ranges_split_a_hot_shard_and_a_run_of_copies(spark):
     staging = scratch_path(spark, "staging")
     result = number_records(routed, rows_per_task=300, staging=staging)
     assert landed(result) == numbered(rows, 16)
-    sizes = [row["count"] for row in spark.read.parquet(staging).groupBy("range").count().collect()]
+    sizes = [row["count"] for row in spark.read.parquet(f"{staging}/placed").groupBy("range").count().collect()]
     assert sum(sizes) == len(rows)
     assert len(sizes) == 10
     assert max(sizes) < 600
