@@ -30,6 +30,14 @@ _PUT = f"""
 ORACLES: dict[str, str] = {
     "stream_consume": _TEXTS,
     "stream_spread": _TEXTS,
+    "stream_handlers": """
+        SELECT props AS value, sink FROM events, (VALUES ('text'), ('log')) AS sinks (sink)
+    """,
+    "stream_union": f"""
+        {_TEXTS} UNION ALL
+        SELECT concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS value
+        FROM lineitem
+    """,
     "stream_latest": f"{_WITH_RECORDS} SELECT stream, shard_id, partition_key, value FROM records",
     "stream_put": f"""
         WITH records AS (

@@ -11,9 +11,12 @@ from shardstream import (
     LATEST,
     advance,
     batch_stats,
+    compose,
     consume,
     decode_records,
+    dispatch,
     list_streams,
+    log_stats,
     microbatch_counts,
     number_records,
     preview,
@@ -21,6 +24,7 @@ from shardstream import (
     put_sink,
     read_csv_with_header,
     read_records,
+    record_stream,
     shard_inventory,
     shard_positions,
     text_sink,
@@ -73,6 +77,26 @@ def stream_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(out).select("value")
 
 
+def stream_handlers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several handlers on one batch: log its size, write it as text, put it elsewhere."""
+    out, copy = scratch_path(spark, "text"), scratch_path(spark, "log")
+    handlers = compose(log_stats(PAGE), text_sink(out), put_sink(copy, SHARDS))
+    _consume_all(spark, _landed_events(spark, sf_dir), handlers)
+    texts = spark.read.text(out).select("value", F.lit("text").alias("sink"))
+    return texts.unionByName(log_values(spark, copy).select("value", F.lit("log").alias("sink")))
+
+
+def stream_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two logs consumed as one stream."""
+    lines, out = scratch_path(spark, "log"), scratch_path(spark, "text")
+    put_records(lineitem_records(spark, sf_dir), lines, 0)
+    logs = [_landed_events(spark, sf_dir), lines]
+    records = union_streams([record_stream(spark, log).select("data") for log in logs])
+    progress = scratch_path(spark, "progress")
+    dispatch(records, text_sink(out), progress, available_now=True).awaitTermination()
+    return spark.read.text(out).select("value")
+
+
 def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A consumer that starts at the newest record sees only what lands afterwards."""
     log_dir, out = _landed_events(spark, sf_dir), scratch_path(spark, "log")
@@ -203,6 +227,8 @@ def csv_header_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_consume": stream_consume,
     "stream_spread": stream_spread,
+    "stream_handlers": stream_handlers,
+    "stream_union": stream_union,
     "stream_latest": stream_latest,
     "stream_put": stream_put,
     "decode_records": decode_events,

@@ -22,6 +22,7 @@ from shardstream import (
     record_stream,
     route_records,
     text_sink,
+    union_streams,
 )
 from shardstream.operators.puts import BATCH_SPAN
 
@@ -268,6 +269,15 @@ def test_any_stream_of_records_can_be_dispatched(spark, folder, log):
     assert len(seen.texts) == 5
 
 
+def test_streams_are_unioned_before_the_handler(spark, folder, log):
+    _put(spark, ROWS[:15], log)
+    _put(spark, ROWS[15:], f"{folder}/second")
+    seen = Seen()
+    records = union_streams([record_stream(spark, log), record_stream(spark, f"{folder}/second")])
+    dispatch(records, seen, f"{folder}/progress", available_now=True).awaitTermination()
+    assert seen.texts == TEXTS
+
+
 def test_handlers_share_one_read_and_stop_at_the_first_error(spark):
     batch = spark.range(10)
     calls = []
