@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -44,22 +46,31 @@ def read_records(log: DataFrame, positions: DataFrame, limit_per_shard: int) ->
     """The next ``limit_per_shard`` records of each shard, from its position on.
 
     Which sequence numbers these are is settled first and right away, on the key
-    columns alone: one scan counts the unread records by their distance from the
-    position, a second one ranks those near enough to matter. Neither sorts or
-    shuffles the backlog. The payloads are then read by a scan and a join with one
-    row per shard.
+    columns alone. A log numbered without gaps has them right behind the position,
+    so that stretch is counted, and nothing else is looked at for the shards where
+    it is full. For the rest, one scan counts the unread records by their distance
+    from the position, and a second one ranks those near enough to matter. None of
+    it sorts or shuffles the backlog. The payloads are then read by a scan and a
+    join with one row per shard.
     """
     if limit_per_shard < 0:
         raise ValueError(f"limit_per_shard must not be negative, but is {limit_per_shard}")
     keys = log.select(*SHARD, "sequence_number")
-    unread = positions.select(
-        *SHARD,
-        F.col("next_sequence").alias("first_sequence"),
-        F.lit(_OPEN_END).alias("last_sequence"),
-    )
-    near = _near_ranges(_within(keys, unread, "unread"), limit_per_shard)
-    page = _page_ranges(_within(keys, near, "near"), limit_per_shard)
-    return _within(log, page, "page").select(
+    first = F.col("next_sequence").alias("first_sequence")
+    behind = (F.col("next_sequence") + F.lit(limit_per_shard - 1)).alias("last_sequence")
+    stretch = _settle(positions.select(*SHARD, first, behind), "stretch")
+    found = _within(keys, stretch).groupBy(*SHARD).agg(F.count("*").alias("found"))
+    counted = pin(stretch.table.join(found, SHARD, "left").fillna(0, "found"), "counted")
+
+    page = counted.where(F.col("found") == limit_per_shard).drop("found")
+    gappy = counted.where(F.col("found") != limit_per_shard).drop("found")
+    (lowest,) = gappy.agg(F.min("first_sequence")).first()
+    if lowest is not None:
+        open_end = gappy.withColumn("last_sequence", F.lit(_OPEN_END))
+        unread = _within(keys, _Ranges(open_end, lowest, _OPEN_END))
+        near = _settle(_near_ranges(unread, limit_per_shard), "near")
+        page = page.unionByName(_page_ranges(_within(keys, near), limit_per_shard))
+    return _within(log, _settle(page, "page")).select(
         [name for name in log.columns if name in RECORD.fieldNames()]
     )
 
@@ -67,26 +78,32 @@ def read_records(log: DataFrame, positions: DataFrame, limit_per_shard: int) ->
 _OPEN_END = 2**63 - 1
 
 
-def _within(log: DataFrame, ranges: DataFrame, purpose: str) -> DataFrame:
-    """The records inside the range of their shard, from its first to its last sequence number.
+class _Ranges(NamedTuple):
+    """Per shard a range of sequence numbers, from its first to its last."""
 
-    The ranges are written to the shared folder. The overall range, seen on the way,
-    goes into the scan as a filter, so that a log written in order skips the files
-    outside it. The comparison in the join's small side marks it as selective: Spark
-    then also skips the directories of shards not in it.
-    """
+    table: DataFrame
+    low: int | None  # the lowest of all
+    high: int | None
+
+
+def _settle(ranges: DataFrame, purpose: str) -> _Ranges:
+    """Write ranges to the shared folder, taking note of the overall range on the way."""
     overall = Observation()
-    ranges = pin(
-        ranges.observe(
-            overall,
-            F.min("first_sequence").alias("low"),
-            F.max("last_sequence").alias("high"),
-        ),
-        purpose,
-    )
+    low, high = F.min("first_sequence").alias("low"), F.max("last_sequence").alias("high")
+    table = pin(ranges.observe(overall, low, high), purpose)
+    return _Ranges(table, overall.get["low"], overall.get["high"])
+
+
+def _within(log: DataFrame, ranges: _Ranges) -> DataFrame:
+    """The records inside the range of their shard.
+
+    The overall range goes into the scan as a filter, so that a log written in
+    order skips the files outside it. The comparison in the join's small side marks
+    it as selective: Spark then also skips the directories of shards not in it.
+    """
     return (
-        log.where(F.col("sequence_number").between(overall.get["low"], overall.get["high"]))
-        .join(ranges.where("first_sequence <= last_sequence"), SHARD)
+        log.where(F.col("sequence_number").between(ranges.low, ranges.high))
+        .join(ranges.table.where("first_sequence <= last_sequence"), SHARD)
         .where("sequence_number between first_sequence and last_sequence")
     )
 

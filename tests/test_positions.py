@@ -91,7 +91,19 @@ def test_paging_reads_every_record_once(spark):
     assert _as_dict(at) == _as_dict(shard_positions(log, position=LATEST))
 
 
-@settings(max_examples=6, deadline=None)
+def test_gaps_in_some_shards_only(spark):
+    """Dense, gappy, short and exhausted shards, and copies of a sequence number."""
+    rows = [("a", 0, n) for n in range(30)] + [("a", 1, n * n) for n in range(30)]
+    rows += [("b", 0, n) for n in range(3)] + [("b", 1, 5)]
+    start = {("a", 0): 2, ("a", 1): 3, ("b", 0): 0, ("b", 1): 6}
+    at = positions(spark, [(*k, v) for k, v in start.items()])
+    assert keys(read_records(records(spark, rows), at, 7)) == page(rows, start, 7)
+    doubled = records(spark, [*rows, ("a", 0, 4)])
+    read = [key for key in keys(read_records(doubled, at, 7)) if key[:2] == ("a", 0)]
+    assert read == page([*rows, ("a", 0, 4)], {("a", 0): 2}, 7)
+
+
+@settings(max_examples=5, deadline=None)
 @given(
     numbers=st.sets(
         st.tuples(
@@ -123,6 +135,16 @@ def test_a_page_of_a_log_is_read_by_a_pruned_scan_without_shuffle(spark, folder)
     assert "hashpartitioning" not in plan
 
 
+def test_a_dense_log_is_not_searched(spark, folder, monkeypatch):
+    events = event_records(spark, "/root/testdata/sf0.001")
+    put_records(route_records(events, "partition_key", 2), folder, 0)
+    log = read_log(spark, folder)
+    monkeypatch.setattr("shardstream.operators.positions._near_ranges", None)
+    batch = read_records(log, shard_positions(log), 5)
+    assert sorted({key[2] for key in keys(batch)}) == [0, 1, 2, 3, 4]
+    assert batch.count() == 5 * shard_inventory(log).count()
+
+
 def test_metadata_reads_no_payload(spark, folder):
     events = event_records(spark, "/root/testdata/sf0.001")
     put_records(route_records(events, "partition_key", 4), folder, 0)
