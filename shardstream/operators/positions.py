@@ -77,6 +77,9 @@ def read_records(log: DataFrame, positions: DataFrame, limit_per_shard: int) ->
 
 _OPEN_END = 2**63 - 1
 
+# Each part hands on up to a page of keys, so this bounds what meets in one task.
+_MOST_PARTS = 1000
+
 
 class _Ranges(NamedTuple):
     """Per shard a range of sequence numbers, from its first to its last."""
@@ -138,7 +141,7 @@ def _page_ranges(near: DataFrame, limit: int) -> DataFrame:
     The keys of a shard are ranked in as many parts as a shuffle has, and only the
     first of each part together, so that no task ranks all keys of a large shard.
     """
-    parts = int(near.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(int(near.sparkSession.conf.get("spark.sql.shuffle.partitions")), _MOST_PARTS)
     keys = near.select(
         *SHARD,
         "sequence_number",

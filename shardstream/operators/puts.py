@@ -14,9 +14,13 @@ from shardstream.model import RECORD, SHARD
 #: Sequence numbers set aside for one batch in every shard.
 BATCH_SPAN = 1 << 32
 
-#: The most rows one task numbers; lower it for large payloads.
+#: The rows one task is to number at most; lower it for large payloads.
 ROWS_PER_TASK = 1_000_000
 
+#: The most ranges cut for that. Beyond it they grow in rows, since the blocks of a
+#: shuffle grow with the square of its tasks; a shuffle set to more tasks has more.
+MOST_RANGES = 20_000
+
 
 def arrival_order() -> list[Column]:
     """The default order of the records of a batch within their shard.
@@ -72,8 +76,9 @@ def number_records(
         place = F.row_number().over(in_shard).cast("bigint")
         return routed.withColumn("sequence_number", place + F.lit(base - 1))
 
+    ranges = max(tasks, min(ceil(total / rows_per_task), MOST_RANGES))
     staging = staging or shared.scratch_path(spark, "numbering")
-    return _number_by_range(routed, order_by, base, ceil(total / rows_per_task), staging)
+    return _number_by_range(routed, order_by, base, ranges, staging)
 
 
 def _columns(names: list[Column | str]) -> list[Column]:
