@@ -162,10 +162,13 @@ def put_records(
             (
                 numbered.select([F.col(f.name).cast(f.dataType) for f in RECORD])
                 .write.mode("overwrite")
+                .option("partitionOverwriteMode", "static")
                 .partitionBy(*SHARD)
                 .parquet(landing)
             )
         finally:
             shared.remove(spark, staging)
+        if not shared.is_complete(spark, landing):
+            raise OSError(f"no _SUCCESS file in {landing}; a put needs them switched on")
     shared.move(spark, landing, landed)
     return True

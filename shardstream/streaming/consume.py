@@ -43,22 +43,19 @@ def dispatch(
     every ``interval`` until the returned query is stopped.
     """
 
+    def view(batch: DataFrame) -> DataFrame:
+        return batch if decode_errors is None else decode_records(batch, decode_errors)
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        if decode_errors is not None:
-            view = decode_records(batch, decode_errors)
-        else:
-            view = batch
         if every_batch is not None:
-            every_batch(view, batch_id)
+            every_batch(view(batch), batch_id)
         # Asked of the batch as read: behind a shuffle the first row would cost all.
         if batch.isEmpty():
             logger.info("batch %d is empty, handler skipped", batch_id)
             return
-        if parallelism is not None:
-            spread = batch.repartition(parallelism)
-            view = spread if decode_errors is None else decode_records(spread, decode_errors)
-        handler(view, batch_id)
+        handler(view(batch if parallelism is None else batch.repartition(parallelism)), batch_id)
 
+    view(records)  # refuses records or options that cannot work before the query starts
     writer = records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if query_name is not None:
         writer = writer.queryName(query_name)

@@ -60,6 +60,31 @@ def test_a_put_that_died_while_writing_is_done_again(spark, folder):
     assert landed(read_log(spark, folder)) == numbered(ROWS, 4)
 
 
+def test_a_dynamic_overwrite_setting_leaves_no_half_written_files(spark, folder):
+    half = f"{folder}/_landing/batch_id=0/stream=gone/shard_id=0"
+    os.makedirs(half)
+    unrouted(spark, ROWS[:3]).drop("stream").coalesce(1).write.mode("append").parquet(half)
+    os.remove(f"{half}/_SUCCESS")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        assert _put(spark, ROWS, folder)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert landed(read_log(spark, folder)) == numbered(ROWS, 4)
+
+
+def test_a_put_needs_success_files(spark, folder):
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    setting = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    hadoop.set(setting, "false")
+    try:
+        with pytest.raises(OSError, match="_SUCCESS"):
+            _put(spark, ROWS, folder)
+    finally:
+        hadoop.unset(setting)
+    assert not os.path.exists(f"{folder}/batch_id=0")
+
+
 def test_a_put_that_died_while_moving_keeps_its_files(spark, folder):
     """Only a file system without atomic renames leaves such a state."""
     _put(spark, ROWS, folder)

@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pytest
 from helpers import landed, numbered, unrouted
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import AnalysisException, StreamingQueryException
 
 from shardstream import (
     LATEST,
@@ -259,6 +259,14 @@ def test_only_the_columns_asked_for_are_read(spark, folder, log):
     assert "ReadSchema: struct<data:binary>" in plan
 
 
+def test_options_that_cannot_work_are_refused_at_the_start(spark, folder, log):
+    _put(spark, ROWS, log)
+    with pytest.raises(ValueError):
+        consume(spark, log, Seen(), f"{folder}/progress", decode_errors="ignore")
+    with pytest.raises(AnalysisException):
+        consume(spark, log, Seen(), f"{folder}/progress", columns=["stream"])
+
+
 def test_any_stream_of_records_can_be_dispatched(spark, folder, log):
     _put(spark, ROWS, log)
     stream = record_stream(spark, log).where("sequence_number < 5")
