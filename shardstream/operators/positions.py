@@ -60,12 +60,18 @@ def read_records(log: DataFrame, positions: DataFrame, limit_per_shard: int) ->
     behind = (F.col("next_sequence") + F.lit(limit_per_shard - 1)).alias("last_sequence")
     stretch = _settle(positions.select(*SHARD, first, behind), "stretch")
     found = _within(keys, stretch).groupBy(*SHARD).agg(F.count("*").alias("found"))
-    counted = pin(stretch.table.join(found, SHARD, "left").fillna(0, "found"), "counted")
+    is_full = F.col("found") == limit_per_shard
+    gaps = Observation()
+    counted = pin(
+        stretch.table.join(found, SHARD, "left")
+        .fillna(0, "found")
+        .observe(gaps, F.min(F.when(~is_full, F.col("first_sequence"))).alias("low")),
+        "counted",
+    )
 
-    page = counted.where(F.col("found") == limit_per_shard).drop("found")
-    gappy = counted.where(F.col("found") != limit_per_shard).drop("found")
-    (lowest,) = gappy.agg(F.min("first_sequence")).first()
-    if lowest is not None:
+    page = counted.where(is_full).drop("found")
+    if (lowest := gaps.get["low"]) is not None:
+        gappy = counted.where(~is_full).drop("found")
         open_end = gappy.withColumn("last_sequence", F.lit(_OPEN_END))
         unread = _within(keys, _Ranges(open_end, lowest, _OPEN_END))
         near = _settle(_near_ranges(unread, limit_per_shard), "near")

@@ -60,6 +60,10 @@ def test_only_shards_with_a_position_are_read(spark):
     start = positions(spark, [("a", 0, 20), ("gone", 3, 0)])
     assert keys(read_records(log, start, 2)) == [("a", 0, 20), ("a", 0, 23)]
     assert read_records(log, positions(spark, []), 2).isEmpty()
+    assert read_records(log, shard_positions(log, "missing"), 2).isEmpty()
+    nothing = read_records(log.where("stream = 'missing'"), start, 2)
+    assert nothing.isEmpty()
+    assert _as_dict(advance(start, nothing)) == _as_dict(start)
 
 
 def test_limits(spark):
