@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardstream.llm import bpe, langid, packing, quality, rules, vectors
+from shardstream.llm import bpe, langid, minhash, packing, quality, rules, substrings, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,12 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the passages that repeat."""
+    cut = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded by the multilingual byte-level vocabulary, and decoded again."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -54,13 +60,20 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("key")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vectors": op1_vectors,
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op6_langid": op6_langid,
+    "op7_substrings": op7_substrings,
     "op8_bpe": op8_bpe,
     "op9_rules": op9_rules,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLES: dict[str, str] = {}
