@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardstream.llm import bpe, langid, minhash, packing, quality, rules, substrings, vectors
+from shardstream.llm import bpe, langid, minhash, packing, pii, quality, rules, substrings, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates for personal data."""
+    replaced = pii.replace_entities(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return replaced.withColumnRenamed("__entities", "n_entities")
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     return langid.identify(_table(spark, sf_dir, "documents"))
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vectors": op1_vectors,
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
+    "op4_pii": op4_pii,
     "op6_langid": op6_langid,
     "op7_substrings": op7_substrings,
     "op8_bpe": op8_bpe,

@@ -188,7 +188,17 @@ def _cut(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``text``, ``n_words``, ``n_removed`` and ``kept`` (the words left, joined by one space)."""
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return _remove(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+
+
+def cut_repeats(docs: DataFrame) -> DataFrame:
+    """The documents, all columns, with ``text`` changed where words of it were removed."""
+    cut = _remove(docs.select("text", F.struct(*(name for name in docs.columns if name != "text")).alias("row")))
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")).alias("text")
+    return cut.select(*(text if name == "text" else F.col(f"row.`{name}`").alias(name) for name in docs.columns))
+
+
+def _remove(docs: DataFrame) -> DataFrame:
     docs = docs.withColumn("key", F.when(F.col("text").isNotNull(), F.xxhash64("text")))
     nodes = _nodes(docs)
     repeated = nodes.groupBy("node").agg(F.count("*").alias("n"), F.max("twice").alias("twice")).where("n > 1 OR twice")
