@@ -26,7 +26,7 @@ PATTERNS = {
     "secret": r"\b(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[^\s\"',;]{6,512}",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": r"(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\w|\.\d)",
-    "card": r"(?<![\w+-])[3-6]\d{3}(?:([ -]?)\d{4}\1\d{4}\1\d{1,7}|[ -]?\d{6}[ -]?\d{5})(?![\w-])",
+    "card": r"(?<![\w+-])(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}|[3-6]\d{12,18}|3\d{3}[ -]\d{6}[ -]\d{5})(?![\w-])",
     "phone": r"(?<![\w+(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[.-])\d{3,4}[ .-]\d{3,4}(?![\w-])|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "name": r"\b(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа)\.? \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+){0,2}",
@@ -93,12 +93,12 @@ def _letter(letters: str, seed: Column, at: Column) -> Column:
 
 def _same_form(text: Column, seed: Column) -> Column:
     """Letters for letters of the same case, digits for digits; hexadecimal stays so."""
-    lower = F.when(text.rlike("^[0-9a-f]*$"), F.lit("abcdef")).otherwise(F.lit("abcdefghijklmnopqrstuvwxyz"))
+    lower = F.when(text.rlike("^(?:[0-9a-f]*|[0-9A-F]*)$"), F.lit("abcdef")).otherwise(F.lit("abcdefghijklmnopqrstuvwxyz"))
 
     def one(c: Column, i: Column) -> Column:
         letter = F.substring(lower, F.pmod(F.xxhash64(seed, i), F.length(lower)).cast("int") + 1, F.lit(1))
         return (
-            F.when(c.rlike("[0-9]"), _letter("0123456789", seed, i)).when(c.rlike(r"\p{Lu}"), F.upper(_letter("abcdefghijklmnopqrstuvwxyz", seed, i)))
+            F.when(c.rlike("[0-9]"), _letter("0123456789", seed, i)).when(c.rlike(r"\p{Lu}"), F.upper(letter))
             .when(c.rlike(r"\p{Ll}"), letter).otherwise(c)
         )
 
