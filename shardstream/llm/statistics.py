@@ -73,7 +73,7 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
 
     # Lines end at a newline or with their text; those without a word do not count.
     cuts = np.union1d(np.flatnonzero(data == 0x0A), words.offsets[1:])
-    line = np.searchsorted(cuts, words.starts)
+    line = np.searchsorted(cuts, words.starts, "right")  # a cut at a word is the end of the text before
     line_first = np.flatnonzero(np.diff(line, prepend=-1))
     line_of, line_doc = line[line_first], words.doc[line_first]
     ends = cuts[line_of]
