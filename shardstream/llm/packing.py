@@ -30,8 +30,12 @@ from shardstream.llm.arrow import batch, fields, map_arrow
 from shardstream.llm.words import blocks
 from shardstream.shared import pin
 
-#: Words whose ids a Python worker keeps; beyond it the cache starts anew.
-CACHED_WORDS = 400_000
+#: Words, and parts of words, whose ids a Python worker keeps; beyond it a cache starts anew.
+CACHED_WORDS, CACHED_PARTS = 500_000, 900_000
+#: Parts that go to the tokenizer as one text.
+_AT_ONCE = 500
+#: Marks that a word's letters and the marks behind them never form a token with.
+_MARKS = b".,!?;:#$%&*"
 
 _tokenizers: dict[str, _Tokens] = {}
 
@@ -39,8 +43,9 @@ _tokenizers: dict[str, _Tokens] = {}
 class _Tokens(dict):
     """Ids of single words as bytes.
 
-    The tokenizer drops white space and never joins across it, so a text has the ids
-    of its words one after the other, and each word is tokenized once while cached.
+    The tokenizer drops white space and case and never joins across white space, nor
+    letters with the marks behind them. So a text has the ids of its words one after the
+    other, a word those of its parts, and each part is tokenized once while cached.
     """
 
     def __init__(self, path: str):
@@ -49,6 +54,29 @@ class _Tokens(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.parts: dict[bytes, bytes] = {b"": b""}
+
+    def _learn(self, words: set[bytes]) -> None:
+        split = {}
+        for word in words:
+            word_low = word.lower()  # of ASCII letters only
+            head = word_low.rstrip(_MARKS)
+            split[word] = (head, word_low[len(head) :]) if head[-1:].isalpha() else (word_low, b"")
+        new = {part for pair in split.values() for part in pair}.difference(self.parts)
+        if len(self.parts) + len(new) > CACHED_PARTS:
+            self.parts = {b"": b""}
+            new = {part for pair in split.values() for part in pair if part}
+        parts = list(new)
+        for i in range(0, len(parts), _AT_ONCE):
+            some = [part.decode() for part in parts[i : i + _AT_ONCE]]
+            encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, starts = np.array(encoded.ids, "<u4"), np.array([a for a, _ in encoded.offsets], np.int64)
+            part = np.searchsorted(np.cumsum([len(x) + 1 for x in some]), starts, "right")
+            cuts = np.searchsorted(part, np.arange(len(some) + 1))
+            for key, a, b in zip(parts[i : i + _AT_ONCE], cuts, cuts[1:], strict=False):
+                self.parts[key] = ids[a:b].tobytes()
+        for word, (head, tail) in split.items():
+            self[word] = self.parts[head] + self.parts[tail]
 
     def texts(self, texts: list[bytes]) -> Iterator[bytes]:
         split = [text.split() for text in texts]
@@ -56,9 +84,7 @@ class _Tokens(dict):
         if len(self) + len(missing) > CACHED_WORDS:
             self.clear()
             missing = set().union(*split)
-        words = list(missing)
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        self.update(zip(words, (np.array(e.ids, "<u4").tobytes() for e in encoded), strict=True))
+        self._learn(missing)
         return (b"".join(map(self.__getitem__, words)) for words in split)
 
 
