@@ -8,9 +8,10 @@ its first arrival, and a run stops once its next arrival is later than all of th
 
 Equal texts are collapsed first. Texts that share a band are linked with the least id of
 that bucket and verified on whole texts. In buckets whose members are not all in one
-class by then, all pairs across classes are taken up in blocks; a pair goes on if its
-signatures agree as links do with overwhelming probability, and is verified unless the
-block has linked its classes already. So classes are those of all links found, with no
+class by then, all pairs across classes are taken up in blocks (members of the largest
+class meet the others only, so a group linked by then costs what its outsiders cost); a
+pair goes on if its signatures agree as links do with overwhelming probability, and is
+verified unless the block has linked its classes already. So classes are those of all links found, with no
 limit on bucket sizes; a pair of similarity 0.8 shares no band of 32 with probability
 5e-8.
 
@@ -162,11 +163,15 @@ def _across(batches, schema, threshold):
         a, b = (own == group.column(side)[0].as_py() for side in ("block_a", "block_b"))
         bands = np.array(group.column("bands").to_pylist(), "<i8")
         parts = bands.view("<u2")
-        i, j = np.nonzero(a[:, None] & b[None] & (classes[:, None] != classes[None]) & (ids[:, None] < ids[None] if a is b or (a == b).all() else True))
+        pairs = a[:, None] & b[None] & (classes[:, None] != classes[None])
+        if (a == b).all():
+            pairs &= ids[:, None] < ids[None]
+        i, j = np.nonzero(pairs)
         if not len(i):
             continue
-        agree = np.concatenate([(parts[p] == parts[q]).sum(1) for p, q in zip(np.array_split(i, len(i) // 8192 + 1), np.array_split(j, len(j) // 8192 + 1), strict=True)])
-        here = np.concatenate([(bands[p] == bands[q]).argmax(1) for p, q in zip(np.array_split(i, len(i) // 8192 + 1), np.array_split(j, len(j) // 8192 + 1), strict=True)])
+        slices = [slice(k, k + 8192) for k in range(0, len(i), 8192)]
+        agree = np.concatenate([(parts[i[k]] == parts[j[k]]).sum(1) for k in slices])
+        here = np.concatenate([(bands[i[k]] == bands[j[k]]).argmax(1) for k in slices])
         # Each pair is taken up in the first band it shares.
         chosen = np.flatnonzero((agree >= LEAST_AGREEMENT * COMPONENTS) & (here == band))
         if not len(chosen):
@@ -210,13 +215,22 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, doc_id: str = "doc_
 
     # What lies in buckets of more than one class.
     kind = pin(members.join(classes, "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component"), "members")
-    mixed = kind.groupBy("band", "value").agg(F.min("class").alias("low"), F.max("class").alias("high"))
-    mixed = kind.join(mixed.where("low <> high"), ["band", "value"])
-    many = F.ceil(F.col("n") / BLOCK).cast("int")
+    sizes = kind.groupBy("band", "value", "class").agg(F.count("*").alias("size"))
+    mixed = sizes.groupBy("band", "value").agg(
+        F.count("*").alias("classes"), F.sum("size").alias("all"), F.max(F.struct("size", "class")).alias("largest")
+    )
+    mixed = kind.join(mixed.where("classes > 1"), ["band", "value"])
+    # The largest class's members meet the others only, not each other: their blocks are
+    # the negative numbers.
+    large = F.col("class") == F.col("largest.class")
+    large_blocks = F.ceil(F.col("largest.size") / BLOCK).cast("int")
+    other_blocks = F.ceil((F.col("all") - F.col("largest.size")) / BLOCK).cast("int")
+    draw = F.xxhash64("id")
+    own = F.when(large, -1 - F.pmod(draw, large_blocks)).otherwise(F.pmod(draw, other_blocks)).cast("int")
+    met = F.sequence(F.when(large, F.lit(0)).otherwise(-large_blocks), other_blocks - 1)
     blocked = mixed.select(
-        "band", "id", "class", F.xxhash64("band", "value").alias("bucket"), many.alias("many"),
-        F.pmod(F.xxhash64("id"), many).cast("int").alias("own"),
-    ).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("many") - 1)))
+        "band", "id", "class", F.xxhash64("band", "value").alias("bucket"), own.alias("own"), F.explode(met).alias("other")
+    )
     keys = ["bucket", "block_a", "block_b"]
     blocked = pin(
         blocked.select(
