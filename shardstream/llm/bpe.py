@@ -27,9 +27,9 @@ from shardstream.llm.arrow import batch, fields, map_arrow
 from shardstream.llm.words import blocks
 
 #: Pieces of text, and words, whose ids a Python worker keeps; beyond it a cache starts anew.
-CACHED_PIECES, CACHED_WORDS = 400_000, 800_000
+CACHED_PIECES, CACHED_WORDS = 150_000, 450_000
 #: Distinct words of one recursive query, and ids of one decoding query.
-QUERY_WORDS, QUERY_IDS = 20_000, 1 << 19
+QUERY_WORDS, QUERY_IDS = 10_000, 1 << 17
 #: Bytes beyond which a word's pairs are kept in a heap: the query's steps, each over
 #: all positions of a word, would take time with the square of its length.
 LONG_WORD = 256
@@ -69,22 +69,25 @@ class _Coder:
         with open(ranks_path, "rb") as lines:
             pairs = (line.split() for line in lines)
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        merges = [
-            (self.ranks[token[:i]], self.ranks[token[i:]], rank)
-            for token, rank in self.ranks.items()
-            for i in range(1, len(token))
-            if token[:i] in self.ranks and token[i:] in self.ranks
-        ]
         self.pattern = regex.compile(pattern)
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
-        self._table("merges", pa.table(dict(zip(("a", "b", "rank"), zip(*merges, strict=True), strict=True))))
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
+        self.can_encode = False
         # Bytes travel as the characters of the same numbers.
         text = [token.decode("latin-1") for token in self.ranks]
         self._table("vocabulary", pa.table({"id": list(self.ranks.values()), "bytes": text}))
 
+    def _merges(self) -> pa.Table:
+        merges = [
+            (self.ranks[token[:i]], self.ranks[token[i:]], rank)
+            for token, rank in self.ranks.items()
+            for i in range(1, len(token))
+            if token[:i] in self.ranks and token[i:] in self.ranks
+        ]
+        return pa.table(dict(zip(("a", "b", "rank"), zip(*merges, strict=True), strict=True)))
+
     def _table(self, name: str, rows: pa.Table) -> None:
         self.db.register("given", rows)
         self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
@@ -146,6 +149,9 @@ class _Coder:
                 self.words[word] = np.array(ids, "<i4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.can_encode:
+            self._table("merges", self._merges())
+            self.can_encode = True
         split = [_pieces(text) for text in texts]
         new = set().union(*split).difference(self.pieces)
         if len(self.pieces) + len(new) > CACHED_PIECES:
@@ -198,7 +204,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
 
     def run(batches):
         coder = _coder(ranks_path, pattern)
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", 1 << 19):
             ids = coder.encode(block.column("text").fill_null("").to_pylist())
             offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
             flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
