@@ -37,7 +37,7 @@ from shardstream.shared import pin
 #: Words of a run, components of a signature, components of a band.
 RUN, COMPONENTS, BAND = 5, 128, 4
 #: Documents of a block of a bucket.
-BLOCK = 64
+BLOCK = 256
 #: A link's signatures agree in fewer components than this share with probability 1e-8.
 LEAST_AGREEMENT = 0.6
 
