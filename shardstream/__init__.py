@@ -8,6 +8,7 @@ from shardstream.operators import (
     list_streams,
     microbatch_counts,
     number_records,
+    positions_with_new_shards,
     preview,
     put_records,
     read_records,
@@ -43,6 +44,7 @@ __all__ = [
     "log_stats",
     "microbatch_counts",
     "number_records",
+    "positions_with_new_shards",
     "preview",
     "print_preview",
     "put_records",

@@ -3,6 +3,7 @@
 from shardstream.operators.positions import (
     advance,
     list_streams,
+    positions_with_new_shards,
     read_records,
     shard_inventory,
     shard_positions,
@@ -23,6 +24,7 @@ __all__ = [
     "list_streams",
     "microbatch_counts",
     "number_records",
+    "positions_with_new_shards",
     "preview",
     "put_records",
     "read_records",

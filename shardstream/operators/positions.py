@@ -32,16 +32,27 @@ def shard_inventory(log: DataFrame, stream: str | None = None) -> DataFrame:
 
 
 def shard_positions(
-    log: DataFrame, stream: str | None = None, position: str = TRIM_HORIZON
+    log: DataFrame,
+    stream: str | None = None,
+    position: str = TRIM_HORIZON,
+    shard_id: int | None = None,
 ) -> DataFrame:
-    """The position of the oldest record of each shard, or that behind the newest."""
+    """The position of the oldest record of each shard (or of one), or that behind the newest."""
     check_position(position)
+    if shard_id is not None:
+        log = log.where(F.col("shard_id") == shard_id)
     sequence = (
         F.min("sequence_number") if position == TRIM_HORIZON else F.max("sequence_number") + 1
     )
     return _of_stream(log, stream).groupBy(*SHARD).agg(sequence.alias("next_sequence"))
 
 
+def positions_with_new_shards(log: DataFrame, positions: DataFrame) -> DataFrame:
+    """The positions, and the oldest record's for shards of the log that have none yet."""
+    new = shard_positions(log).join(positions, list(SHARD), "left_anti")
+    return positions.select(*SHARD, "next_sequence").unionByName(new)
+
+
 def read_records(log: DataFrame, positions: DataFrame, limit_per_shard: int) -> DataFrame:
     """The next ``limit_per_shard`` records of each shard, from its position on.
 

@@ -50,7 +50,8 @@ def number_records(
 ) -> DataFrame:
     """Number the records of each shard ``base, base + 1, …`` in the given order.
 
-    The order has to be total but for copies of a record, and made of short columns.
+    The order is made of short columns. Ties go by ``arrival_order``, which is total but for
+    copies of a record.
 
     A count per shard comes first. While every shard fits one task, a window per
     shard does the rest. Otherwise the records are range-partitioned on shard and
@@ -58,7 +59,7 @@ def number_records(
     new path in the shared folder) with their place; a second pass adds up the
     sizes of the ranges before each. Both ways give the same numbers.
     """
-    order_by = order_by or arrival_order()
+    order_by = [*(order_by or []), *arrival_order()]
     spark = routed.sparkSession
     sizes = (
         routed.groupBy(*SHARD)
@@ -142,14 +143,19 @@ def put_records(
     The batch takes the sequence numbers from ``batch_id * 2**32`` on. It is
     written out of sight of readers and then moved to ``batch_id=N``, so they see
     all of it or nothing. Putting a batch that is there already changes nothing
-    and returns ``False``, which makes a replayed micro-batch harmless. A log has
-    one writer, with rising batch ids.
+    and returns ``False``, which makes a replayed micro-batch harmless; one whose move was
+    broken off is completed first. A log has one writer, with rising batch ids.
     """
     spark = routed.sparkSession
     landed = f"{log_dir}/batch_id={batch_id}"
     landing = f"{log_dir}/_landing/batch_id={batch_id}"
     if shared.is_complete(spark, landed):
-        return False
+        if not shared.exists(spark, landing):
+            return False
+        # A move that copies has no order: the marker may have come before the data.
+        if not shared.is_complete(spark, landing):
+            shared.finish_move(spark, landing, landed)
+            return True
     if not shared.is_complete(spark, landing):
         staging = shared.scratch_path(spark, "numbering")
         named = routed.withColumn(

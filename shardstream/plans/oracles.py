@@ -109,6 +109,17 @@ ORACLES: dict[str, str] = {
         SELECT stream, shard_id, min(sequence_number) AS next_sequence
         FROM records GROUP BY stream, shard_id
     """,
+    "shard_position_one": f"""
+        {_WITH_RECORDS}
+        SELECT stream, shard_id, max(sequence_number) + 1 AS next_sequence
+        FROM records WHERE stream = 'click' AND shard_id = 1 GROUP BY stream, shard_id
+    """,
+    "positions_with_new_shards": f"""
+        {_WITH_RECORDS}
+        SELECT stream, shard_id,
+               if(stream = 'click', max(sequence_number) + 1, min(sequence_number)) AS next_sequence
+        FROM records GROUP BY stream, shard_id
+    """,
     "shard_positions_latest": f"""
         {_WITH_RECORDS}
         SELECT stream, shard_id, max(sequence_number) + 1 AS next_sequence

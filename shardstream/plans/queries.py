@@ -19,6 +19,7 @@ from shardstream import (
     log_stats,
     microbatch_counts,
     number_records,
+    positions_with_new_shards,
     preview,
     put_records,
     put_sink,
@@ -192,6 +193,17 @@ def positions_oldest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_positions(event_records(spark, sf_dir))
 
 
+def position_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The position behind the newest record of one shard."""
+    return shard_positions(event_records(spark, sf_dir), "click", LATEST, shard_id=1)
+
+
+def with_new_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions at the end of one stream, and the start of all others."""
+    log = event_records(spark, sf_dir)
+    return positions_with_new_shards(log, shard_positions(log, "click", LATEST))
+
+
 def positions_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_positions(event_records(spark, sf_dir), position=LATEST)
 
@@ -246,6 +258,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shard_inventory": inventory,
     "shard_positions_oldest": positions_oldest,
     "shard_positions_latest": positions_latest,
+    "shard_position_one": position_one,
+    "positions_with_new_shards": with_new_shards,
     "read_records": first_page,
     "next_positions": next_positions,
     "read_records_second_page": second_page,

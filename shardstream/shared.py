@@ -76,6 +76,23 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def finish_move(spark: SparkSession, source: str, target: str) -> None:
+    """Move the files that a broken-off move has left in ``source``, under their names."""
+    fs, source_path = _locate(spark, source)
+    _, target_path = _locate(spark, target)
+    root = fs.getFileStatus(source_path).getPath().toUri().getPath()
+    files = fs.listFiles(source_path, True)
+    while files.hasNext():
+        left = files.next().getPath()
+        place = f"{target.rstrip('/')}/{left.toUri().getPath()[len(root) :].lstrip('/')}"
+        _, place = _locate(spark, place)
+        if not fs.exists(place):
+            fs.mkdirs(place.getParent())
+            if not fs.rename(left, place):
+                raise OSError(f"cannot move {left} to {target_path}")
+    fs.delete(source_path, True)
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """The values of a directory partition column, from directory names alone."""
     fs, pattern = _locate(spark, f"{path}/{column}=*")

@@ -27,6 +27,10 @@ _LAYOUT = T.StructType(
 )
 
 
+#: Longer than any log is kept.
+_ANY_AGE = "36500d"
+
+
 def _records(layout: DataFrame, stream: str | None, after_batch: int | None = None) -> DataFrame:
     if stream is not None:
         layout = layout.where(F.col("stream") == stream)
@@ -76,6 +80,9 @@ def record_stream(
     below each shard's newest position, and as a partition filter it opens none
     of the backlog's files.
 
+    Files count whatever their age, so the driver remembers the path of every file of the
+    log; ``options={"maxFileAge": "30d"}`` bounds that where no older file can appear.
+
     ``max_files`` or ``max_bytes`` bounds a micro-batch; ``options`` go to Spark's
     file source as they are. With ``require_data=False`` an empty log is allowed
     and made where missing.
@@ -92,7 +99,9 @@ def record_stream(
             raise ValueError("position 'latest' needs a start path to remember its start in")
         after_batch = _frozen_start(spark, log_dir, start)
 
-    reader = spark.readStream.schema(_LAYOUT).options(**(options or {}))
+    # The file source skips files much older than the newest one it has seen; a copied or
+    # restored log has such files.
+    reader = spark.readStream.schema(_LAYOUT).option("maxFileAge", _ANY_AGE).options(**(options or {}))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:

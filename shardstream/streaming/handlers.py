@@ -35,8 +35,8 @@ def log_stats(n: int = 10) -> Handler:
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         stats = batch_stats(batch).first()
-        logger.info("batch %d: total record count: %d", batch_id, stats["records"])
-        logger.info("batch %d: total partition count: %d", batch_id, stats["partitions"])
+        logger.info("batch %d holds %d records", batch_id, stats["records"])
+        logger.info("batch %d lies in %d partitions", batch_id, stats["partitions"])
         for row in preview(_texts(batch), n).collect():
             logger.info("batch %d: %s", batch_id, ", ".join(map(str, row)))
 

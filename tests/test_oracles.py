@@ -8,7 +8,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from shardstream.plans import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -22,13 +23,13 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_agrees_with_sql(spark, tables, name):
-    result = queries()[name](spark, SF_DIR)
-    expected = tables.execute(oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    expected = tables.execute(ORACLES[name])
     expected_columns = [column[0] for column in expected.description]
     assert result.columns == expected_columns
     rows = Counter(map(tuple, result.collect()))

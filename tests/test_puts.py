@@ -97,6 +97,27 @@ def test_a_put_that_died_while_moving_keeps_its_files(spark, folder):
     assert landed(read_log(spark, folder)) == numbered(ROWS, 4)
 
 
+def test_a_marker_that_moved_before_the_data_loses_nothing(spark, folder):
+    _put(spark, ROWS, folder)
+    files = _files(folder)
+    os.makedirs(f"{folder}/_landing", exist_ok=True)
+    os.rename(f"{folder}/batch_id=0", f"{folder}/_landing/batch_id=0")
+    os.makedirs(f"{folder}/batch_id=0")
+    os.rename(f"{folder}/_landing/batch_id=0/_SUCCESS", f"{folder}/batch_id=0/_SUCCESS")
+    assert _put(spark, ROWS, folder)
+    assert _files(folder) == files
+    assert landed(read_log(spark, folder)) == numbered(ROWS, 4)
+    assert not _put(spark, ROWS, folder)
+
+
+def test_ties_in_the_callers_order_number_alike_on_both_ways(spark):
+    tied = [("s", "k", n // 50, b"payload %d" % n) for n in range(200)]
+    routed = route_records(unrouted(spark, tied), "partition_key", 1)
+    one = number_records(routed, ["arrival_ts"])
+    ranges = number_records(routed.repartition(5), ["arrival_ts"], rows_per_task=20)
+    assert landed(one) == landed(ranges) == numbered(tied, 1)
+
+
 def test_an_unfinished_put_is_out_of_sight(spark, folder):
     _put(spark, ROWS, folder, 0)
     os.makedirs(f"{folder}/_landing", exist_ok=True)

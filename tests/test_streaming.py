@@ -80,6 +80,18 @@ def test_one_batch_per_file_and_no_record_lost(spark, folder, log):
     assert seen.texts == TEXTS
 
 
+def test_a_batch_with_old_files_is_streamed(spark, folder, log):
+    """A copy that keeps times may bring files in that are days older than those seen."""
+    _put(spark, ROWS[:20], log, 0)
+    out, progress = f"{folder}/out", f"{folder}/progress"
+    consume(spark, log, text_sink(out), progress, available_now=True).awaitTermination()
+    _put(spark, ROWS[20:], log, 1)
+    for path in Path(f"{log}/batch_id=1").rglob("*.parquet"):
+        os.utime(path, (1_500_000_000, 1_500_000_000))
+    consume(spark, log, text_sink(out), progress, available_now=True).awaitTermination()
+    assert _lines(spark, out) == TEXTS
+
+
 def test_a_byte_bound_cuts_batches_too(spark, folder, log):
     _put_in_parts(spark, log)
     seen = Seen()
@@ -324,7 +336,7 @@ def test_printing_and_logging(spark, capsys, caplog):
     with caplog.at_level(logging.INFO, "shardstream"):
         log_stats(1)(batch.repartition(4).coalesce(3), 3)
     messages = [record.getMessage() for record in caplog.records]
-    assert messages[:2] == ["batch 3: total record count: 9", "batch 3: total partition count: 3"]
+    assert messages[:2] == ["batch 3 holds 9 records", "batch 3 lies in 3 partitions"]
     assert len(messages) == 3 and messages[2].startswith("batch 3: text ")
 
 
