@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardstream.llm import bpe, langid, minhash, packing, pii, quality, rules, substrings, vectors
+from shardstream.llm import bpe, chat, langid, minhash, packing, pii, quality, rules, substrings, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,12 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replaced.withColumnRenamed("__entities", "n_entities")
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as transcripts, parsed and rendered as chat turns."""
+    conversations = _table(spark, sf_dir, "conversations")
+    return chat.format_chats(chat.transcribe(conversations), chat.learn(conversations))
+
+
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     return langid.identify(_table(spark, sf_dir, "documents"))
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_quality": op3_quality,
     "op4_pii": op4_pii,
+    "op5_chat": op5_chat,
     "op6_langid": op6_langid,
     "op7_substrings": op7_substrings,
     "op8_bpe": op8_bpe,
