@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from shardstream.model import RECORD, SHARD, TRIM_HORIZON, check_position
+from shardstream.operators.puts import BATCH_SPAN
 from shardstream.shared import pin
 
 
@@ -66,7 +67,7 @@ def read_records(log: DataFrame, positions: DataFrame, limit_per_shard: int) ->
     """
     if limit_per_shard < 0:
         raise ValueError(f"limit_per_shard must not be negative, but is {limit_per_shard}")
-    keys = log.select(*SHARD, "sequence_number")
+    keys = log.select(*SHARD, "sequence_number", *(_BATCH & set(log.columns)))
     first = F.col("next_sequence").alias("first_sequence")
     behind = (F.col("next_sequence") + F.lit(limit_per_shard - 1)).alias("last_sequence")
     stretch = _settle(positions.select(*SHARD, first, behind), "stretch")
@@ -94,6 +95,9 @@ def read_records(log: DataFrame, positions: DataFrame, limit_per_shard: int) ->
 
 _OPEN_END = 2**63 - 1
 
+# The batch directory of a log that ``put_records`` numbered.
+_BATCH = {"batch_id"}
+
 # Each part hands on up to a page of keys, so this bounds what meets in one task.
 _MOST_PARTS = 1000
 
@@ -117,10 +121,14 @@ def _settle(ranges: DataFrame, purpose: str) -> _Ranges:
 def _within(log: DataFrame, ranges: _Ranges) -> DataFrame:
     """The records inside the range of their shard.
 
-    The overall range goes into the scan as a filter, so that a log written in
-    order skips the files outside it. The comparison in the join's small side marks
+    The overall range goes into the scan as a filter, and as a range of batches where
+    the log names them: the directories of other batches are skipped, and the row
+    groups outside the range. The comparison in the join's small side marks
     it as selective: Spark then also skips the directories of shards not in it.
     """
+    if _BATCH <= set(log.columns) and ranges.low is not None:
+        batches = ranges.low // BATCH_SPAN, ranges.high // BATCH_SPAN
+        log = log.where(F.col("batch_id").between(*batches))
     return (
         log.where(F.col("sequence_number").between(ranges.low, ranges.high))
         .join(ranges.table.where("first_sequence <= last_sequence"), SHARD)
@@ -131,16 +139,19 @@ def _within(log: DataFrame, ranges: _Ranges) -> DataFrame:
 def _near_ranges(unread: DataFrame, limit: int) -> DataFrame:
     """Per shard a range that holds its next ``limit`` records, and seldom many more.
 
-    Records fall into zones that double in width with the distance, so a shard has
-    at most some sixty. Zones count until the ones before them hold the limit.
+    Records fall into zones that double in width with the distance from the position,
+    and anew from the first number of each batch, so a shard has at most some thirty for
+    a batch. Zones count until the ones before them hold the limit.
     """
-    distance = F.col("sequence_number") - F.col("first_sequence")
+    distance = F.col("sequence_number") - F.greatest("first_sequence", F.col("batch") * BATCH_SPAN)
     zones = (
-        unread.withColumn("zone", F.floor(F.log2(distance / max(limit, 1) + 1)))
-        .groupBy(*SHARD, "first_sequence", "zone")
+        unread.withColumn("batch", F.shiftright("sequence_number", 32))
+        .withColumn("zone", F.floor(F.log2(distance / max(limit, 1) + 1)))
+        .groupBy(*SHARD, "first_sequence", "batch", "zone")
         .agg(F.count("*").alias("records"), F.max("sequence_number").alias("last_sequence"))
     )
-    nearer = Window.partitionBy(*SHARD).orderBy("zone").rowsBetween(Window.unboundedPreceding, -1)
+    by_distance = Window.partitionBy(*SHARD).orderBy("batch", "zone")
+    nearer = by_distance.rowsBetween(Window.unboundedPreceding, -1)
     return (
         zones.withColumn("before", F.coalesce(F.sum("records").over(nearer), F.lit(0)))
         .where(F.col("before") < limit)

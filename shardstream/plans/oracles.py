@@ -27,6 +27,32 @@ _PUT = f"""
     FROM records
 """
 
+_IN_BATCHES = f"""
+    {_WITH_RECORDS}, batched AS (
+        SELECT *, least((day(arrival_ts) - 1) // 10, 2) AS batch_id FROM records
+    ), landed AS (
+        SELECT stream, shard_id, batch_id,
+               batch_id * 4294967296
+                   + row_number() OVER (
+                       PARTITION BY stream, shard_id, batch_id ORDER BY sequence_number
+                   ) - 1 AS sequence_number,
+               partition_key, arrival_ts, value
+        FROM batched
+    )
+"""
+
+_ACROSS = f"""
+    {_IN_BATCHES}, starts AS (
+        SELECT stream, shard_id, greatest(max(sequence_number) + 1 - 5, 0) AS start
+        FROM landed WHERE batch_id = 0 GROUP BY stream, shard_id
+    ), paged AS (
+        SELECT landed.*, {_NUMBERED} AS place
+        FROM landed JOIN starts USING (stream, shard_id) WHERE sequence_number >= start
+    )
+"""
+
+_PAGE = "stream, shard_id, sequence_number, partition_key, arrival_ts, value"
+
 ORACLES: dict[str, str] = {
     "stream_consume": _TEXTS,
     "stream_spread": _TEXTS,
@@ -38,7 +64,10 @@ ORACLES: dict[str, str] = {
         SELECT concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS value
         FROM lineitem
     """,
-    "stream_latest": f"{_WITH_RECORDS} SELECT stream, shard_id, partition_key, value FROM records",
+    "stream_latest": f"""
+        {_WITH_RECORDS}
+        SELECT stream, shard_id, partition_key, arrival_ts, value FROM records
+    """,
     "stream_put": f"""
         WITH records AS (
             SELECT event_type AS stream, {_shard("user_id", 8)} AS shard_id, ts AS arrival_ts,
@@ -53,13 +82,9 @@ ORACLES: dict[str, str] = {
     """,
     "decode_records": "SELECT event_id AS sequence_number, props AS value FROM events",
     "decode_documents": "SELECT doc_id, text AS value FROM documents",
-    "shard_union": " UNION ALL ".join(
-        f"""
-        SELECT {_shard("user_id")} AS shard_id, event_id AS sequence_number, props AS value
-        FROM events WHERE {_shard("user_id")} = {shard}
-        """
-        for shard in range(4)
-    ),
+    "shard_union": f"""
+        SELECT shard_id, sequence_number, value FROM ({_PUT})
+    """,
     "repartition_records": "SELECT event_id AS sequence_number, props AS value FROM events",
     "batch_preview": """
         SELECT event_id AS sequence_number, props AS value FROM events ORDER BY event_id LIMIT 10
@@ -81,7 +106,7 @@ ORACLES: dict[str, str] = {
                3 * 4294967296
                    + row_number() OVER (PARTITION BY stream, shard_id ORDER BY conv_id, turn) - 1
                    AS sequence_number,
-               partition_key, value
+               partition_key, TIMESTAMP '2024-01-01' AS arrival_ts, value
         FROM records
     """,
     "number_hot_shards": f"""
@@ -126,7 +151,7 @@ ORACLES: dict[str, str] = {
         FROM records GROUP BY stream, shard_id
     """,
     "read_records": f"""
-        {_PAGED} SELECT stream, shard_id, sequence_number, value FROM paged WHERE place <= 10
+        {_PAGED} SELECT {_PAGE} FROM paged WHERE place <= 10
     """,
     "next_positions": f"""
         {_PAGED}
@@ -135,7 +160,17 @@ ORACLES: dict[str, str] = {
     """,
     "read_records_second_page": f"""
         {_PAGED}
-        SELECT stream, shard_id, sequence_number, value FROM paged WHERE place BETWEEN 11 AND 20
+        SELECT {_PAGE} FROM paged WHERE place BETWEEN 11 AND 20
+    """,
+    "read_log_first_page": f"""
+        {_IN_BATCHES}, paged AS (SELECT *, {_NUMBERED} AS place FROM landed)
+        SELECT {_PAGE} FROM paged WHERE place <= 10
+    """,
+    "read_log_page_across_batches": f"{_ACROSS} SELECT {_PAGE} FROM paged WHERE place <= 10",
+    "read_log_next_positions": f"""
+        {_ACROSS}
+        SELECT stream, shard_id, max(sequence_number) + 1 AS next_sequence
+        FROM paged WHERE place <= 10 GROUP BY stream, shard_id
     """,
     "csv_header_scan": """
         SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey,

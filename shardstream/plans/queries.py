@@ -24,6 +24,7 @@ from shardstream import (
     put_records,
     put_sink,
     read_csv_with_header,
+    read_log,
     read_records,
     record_stream,
     shard_inventory,
@@ -102,12 +103,12 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A consumer that starts at the newest record sees only what lands afterwards."""
     log_dir, out = _landed_events(spark, sf_dir), scratch_path(spark, "log")
     progress = scratch_path(spark, "progress")
-    options = {"position": LATEST, "decode_errors": None, "available_now": True}
+    options = {"position": LATEST, "max_files": 1, "decode_errors": None, "available_now": True}
     copy = put_sink(out, SHARDS, order_by=["sequence_number"])
     consume(spark, log_dir, copy, progress, **options).awaitTermination()
     put_records(event_records(spark, sf_dir), log_dir, 1, ["sequence_number"])
     consume(spark, log_dir, copy, progress, **options).awaitTermination()
-    return log_values(spark, out).select("stream", "shard_id", "partition_key", "value")
+    return log_values(spark, out).select("stream", "shard_id", "partition_key", "arrival_ts", "value")
 
 
 def stream_put(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,6 +119,38 @@ def stream_put(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_values(spark, out)
 
 
+def _landed_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``events`` as a log of three batches, by the day of the month."""
+    log_dir = scratch_path(spark, "log")
+    third = F.least(F.floor((F.dayofmonth("arrival_ts") - 1) / 10), F.lit(2))
+    for batch_id in range(3):
+        records = event_records(spark, sf_dir).where(third == batch_id)
+        put_records(records, log_dir, batch_id, ["sequence_number"])
+    return read_log(spark, log_dir)
+
+
+def _near_the_end_of_the_first_batch(log: DataFrame) -> DataFrame:
+    ends = shard_positions(log.where("batch_id = 0"), position=LATEST)
+    return ends.withColumn("next_sequence", F.greatest(F.col("next_sequence") - PAGE // 2, F.lit(0)))
+
+
+def log_first_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _landed_in_batches(spark, sf_dir)
+    return _page(read_records(log, shard_positions(log), PAGE))
+
+
+def log_page_across_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page that begins shortly before the end of a batch."""
+    log = _landed_in_batches(spark, sf_dir)
+    return _page(read_records(log, _near_the_end_of_the_first_batch(log), PAGE))
+
+
+def log_next_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _landed_in_batches(spark, sf_dir)
+    start = _near_the_end_of_the_first_batch(log)
+    return advance(start, read_records(log, start, PAGE))
+
+
 def decode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_records(event_records(spark, sf_dir)).select("sequence_number", "value")
 
@@ -128,8 +161,9 @@ def decode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shard_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = event_records(spark, sf_dir)
-    shards = [records.where(F.col("shard_id") == shard) for shard in range(SHARDS)]
+    """The shards of a landed log, each read from its own directories, as one."""
+    log = read_log(spark, _landed_events(spark, sf_dir))
+    shards = [log.where(F.col("shard_id") == shard) for shard in range(SHARDS)]
     return decode_records(union_streams(shards)).select("shard_id", "sequence_number", "value")
 
 
@@ -166,7 +200,7 @@ def put_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts, line breaks and all, through a log."""
     log_dir = scratch_path(spark, "log")
     put_records(conversation_records(spark, sf_dir), log_dir, 3, ["conv_id", "turn"])
-    return log_values(spark, log_dir).drop("arrival_ts")
+    return log_values(spark, log_dir)
 
 
 def number_hot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +243,9 @@ def positions_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _page(records: DataFrame) -> DataFrame:
-    return decode_records(records).select("stream", "shard_id", "sequence_number", "value")
+    return decode_records(records).select(
+        "stream", "shard_id", "sequence_number", "partition_key", "arrival_ts", "value"
+    )
 
 
 def first_page(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,5 +299,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_records": first_page,
     "next_positions": next_positions,
     "read_records_second_page": second_page,
+    "read_log_first_page": log_first_page,
+    "read_log_page_across_batches": log_page_across_batches,
+    "read_log_next_positions": log_next_positions,
     "csv_header_scan": csv_header_scan,
 }

@@ -47,6 +47,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether any path matches."""
+    fs, target = _locate(spark, pattern)
+    return bool(len(fs.globStatus(target) or []))
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a Spark job finished writing this directory."""
     return exists(spark, f"{path}/_SUCCESS")

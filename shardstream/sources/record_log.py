@@ -31,17 +31,17 @@ _LAYOUT = T.StructType(
 _ANY_AGE = "36500d"
 
 
-def _records(layout: DataFrame, stream: str | None, after_batch: int | None = None) -> DataFrame:
-    if stream is not None:
-        layout = layout.where(F.col("stream") == stream)
-    if after_batch is not None:
-        layout = layout.where(F.col("batch_id") > after_batch)
-    return layout.select(RECORD.fieldNames())
+def _of_stream(layout: DataFrame, stream: str | None) -> DataFrame:
+    return layout if stream is None else layout.where(F.col("stream") == stream)
 
 
 def read_log(spark: SparkSession, log_dir: str, stream: str | None = None) -> DataFrame:
-    """The records landed so far, of one stream or of all."""
-    return _records(spark.read.schema(_LAYOUT).parquet(log_dir), stream)
+    """The records landed so far, of one stream or of all, and the ``batch_id`` of each.
+
+    The batch is a directory like stream and shard: pages prune by it.
+    """
+    layout = spark.read.schema(_LAYOUT).parquet(log_dir)
+    return _of_stream(layout, stream).select(*RECORD.fieldNames(), "batch_id")
 
 
 def require_records(spark: SparkSession, log_dir: str, stream: str | None = None) -> None:
@@ -50,7 +50,7 @@ def require_records(spark: SparkSession, log_dir: str, stream: str | None = None
         raise ValueError(f"no records to consume in {log_dir} (stream: {stream or 'any'})")
 
 
-def _frozen_start(spark: SparkSession, log_dir: str, start: str) -> int:
+def frozen_start(spark: SparkSession, log_dir: str, start: str) -> int:
     """The newest batch landed when the query first started, written down once."""
     if not shared.is_complete(spark, start):
         landed = [int(value) for value in shared.partition_values(spark, log_dir, "batch_id")]
@@ -97,7 +97,7 @@ def record_stream(
     if position == LATEST:
         if start is None:
             raise ValueError("position 'latest' needs a start path to remember its start in")
-        after_batch = _frozen_start(spark, log_dir, start)
+        after_batch = frozen_start(spark, log_dir, start)
 
     # The file source skips files much older than the newest one it has seen; a copied or
     # restored log has such files.
@@ -106,4 +106,7 @@ def record_stream(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return _records(reader.parquet(log_dir), stream, after_batch)
+    layout = _of_stream(reader.parquet(log_dir), stream)
+    if after_batch is not None:
+        layout = layout.where(F.col("batch_id") > after_batch)
+    return layout.select(RECORD.fieldNames())

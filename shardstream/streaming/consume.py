@@ -7,12 +7,17 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from shardstream.model import TRIM_HORIZON, Handler
+from shardstream import shared
+from shardstream.model import LATEST, TRIM_HORIZON, Handler
 from shardstream.operators import decode_records
 from shardstream.sources import record_stream
+from shardstream.sources.record_log import frozen_start
 
 logger = logging.getLogger(__name__)
 
+#: Options of the file source that bound a micro-batch, in lower case.
+_BOUNDS = {"maxfilespertrigger", "maxbytespertrigger"}
+
 
 def dispatch(
     records: DataFrame,
@@ -90,18 +95,31 @@ def consume(
     Progress is kept in ``checkpoint``, one per consumer: a restart goes on behind
     the last finished batch. Raises ``ValueError`` on a missing or empty log unless
     ``require_data`` is off. The further options are those of ``dispatch``.
+
+    The bounds of a batch count the files of a backlog that ``position="latest"`` skips.
+    The first start therefore passes them in one batch without bounds and waits for it;
+    what lands meanwhile goes to the handler in that batch.
     """
-    records = record_stream(
-        spark,
-        log_dir,
-        stream,
-        position=position,
-        start=f"{checkpoint}/start",
-        max_files=max_files,
-        max_bytes=max_bytes,
-        require_data=require_data,
-        options=source_options,
-    )
-    if columns is not None:
-        records = records.select(columns)
-    return dispatch(records, handler, checkpoint, **dispatch_options)
+
+    def records(options: dict[str, str], **bounds: int | None) -> DataFrame:
+        found = record_stream(
+            spark,
+            log_dir,
+            stream,
+            position=position,
+            start=start,
+            require_data=require_data,
+            options=options,
+            **bounds,
+        )
+        return found if columns is None else found.select(columns)
+
+    start, options = f"{checkpoint}/start", source_options or {}
+    bounded = records(options, max_files=max_files, max_bytes=max_bytes)
+    unbounded = {name: value for name, value in options.items() if name.lower() not in _BOUNDS}
+    has_bounds = max_files is not None or max_bytes is not None or unbounded != options
+    if position == LATEST and has_bounds and not shared.matches(spark, f"{checkpoint}/commits/[0-9]*"):
+        if frozen_start(spark, log_dir, start) >= 0:
+            seeding = dispatch_options | {"available_now": True}
+            dispatch(records(unbounded), handler, checkpoint, **seeding).awaitTermination()
+    return dispatch(bounded, handler, checkpoint, **dispatch_options)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shardstream.functions import required
 from shardstream.model import Handler
 from shardstream.operators import put_records, route_records
+from shardstream.operators.puts import ROWS_PER_TASK
 
 
 def text_sink(directory: str, files: int | None = None, column: str = "value") -> Handler:
@@ -33,16 +34,19 @@ def put_sink(
     shards: int,
     key: Column | str = "partition_key",
     order_by: list[Column | str] | None = None,
+    *,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> Handler:
     """Route each batch to the shards of another log and land it there.
 
     The batches have to be raw (``decode_errors=None``) or carry ``value``, whose
-    UTF-8 bytes then become the payload.
+    UTF-8 bytes then become the payload. Lower ``rows_per_task`` for large payloads.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if "data" not in batch.columns:
             batch = batch.withColumn("data", F.col("value").cast("binary"))
-        put_records(route_records(batch, key, shards), log_dir, batch_id, order_by)
+        routed = route_records(batch, key, shards)
+        put_records(routed, log_dir, batch_id, order_by, rows_per_task=rows_per_task)
 
     return handle

@@ -4,6 +4,7 @@ import pytest
 from helpers import keys, page, plan_of, positions, records
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shardstream import (
     LATEST,
@@ -16,6 +17,8 @@ from shardstream import (
     shard_inventory,
     shard_positions,
 )
+from shardstream.model import SHARD
+from shardstream.operators import positions as positions_module
 from shardstream.plans.views import event_records
 
 ROWS = [("a", 0, n) for n in range(5, 50, 3)] + [("a", 1, 7), ("b", 0, 0), ("b", 0, 2**40)]
@@ -149,6 +152,30 @@ def test_a_dense_log_is_not_searched(spark, folder, monkeypatch):
     assert batch.count() == 5 * shard_inventory(log).count()
 
 
+def test_a_page_across_batches_opens_two_of_them_and_ranks_few_keys(spark, folder, monkeypatch):
+    events = event_records(spark, "/root/testdata/sf0.001")
+    for batch_id in range(4):
+        put_records(route_records(events, "partition_key", 2), folder, batch_id)
+    log = read_log(spark, folder)
+    ends = shard_positions(log.where("batch_id = 1"), position=LATEST)
+    start = ends.withColumn("next_sequence", F.col("next_sequence") - 5)
+    ranked = []
+    rank = positions_module._page_ranges
+
+    def ranked_keys(near, limit):
+        ranked.append(near.count())
+        return rank(near, limit)
+
+    monkeypatch.setattr(positions_module, "_page_ranges", ranked_keys)
+    batch = read_records(log, start, 10)
+    shards = start.count()
+    assert ranked == [15 * shards]
+    assert batch.count() == 10 * shards
+    plan = plan_of(batch)
+    assert "batch_id" in plan.split("PartitionFilters: [")[1].split("ReadSchema")[0]
+    assert {row.batch_id for row in log.join(batch.select(*SHARD, "sequence_number"), [*SHARD, "sequence_number"]).collect()} == {1, 2}
+
+
 def test_metadata_reads_no_payload(spark, folder):
     events = event_records(spark, "/root/testdata/sf0.001")
     put_records(route_records(events, "partition_key", 4), folder, 0)

@@ -158,7 +158,7 @@ def test_decoded_batches_can_be_put(spark, folder, log):
 def test_an_empty_batch_skips_the_handler(spark, folder, log):
     _put(spark, ROWS, log)
     empty = Path(log) / "batch_id=0" / "stream=s" / "shard_id=0"
-    table = read_log(spark, log).drop("stream", "shard_id").limit(0).coalesce(1)
+    table = read_log(spark, log).drop("stream", "shard_id", "batch_id").limit(0).coalesce(1)
     table.write.parquet(f"{folder}/empty")
     _run(spark, log, Seen(), f"{folder}/progress")
     (part,) = Path(f"{folder}/empty").glob("*.parquet")
@@ -183,6 +183,25 @@ def test_the_newest_position_is_frozen_at_the_first_start(spark, folder, log):
     assert len(seen.texts) == 30
 
 
+def test_a_bounded_consumer_passes_the_backlog_at_once(spark, folder, log):
+    _put_in_parts(spark, log, 12)
+    options = {"position": LATEST, "max_files": 1}
+    seen = Seen()
+    query = _run(spark, log, seen, f"{folder}/progress", **options)
+    assert seen.batches == {}
+    assert _rows_read(query) == 0, "the backlog was read"
+    # A restart between passing the backlog and the first batch with bounds.
+    for batch_id in (12, 13):
+        _put(spark, ROWS[:2], log, batch_id)
+    _run(spark, log, seen, f"{folder}/progress", **options)
+    assert {batch_id: len(rows) for batch_id, rows in seen.batches.items()} == {1: 2, 2: 2}
+    # Once it has commits it keeps to its bounds.
+    for batch_id in (14, 15):
+        _put(spark, ROWS[:2], log, batch_id)
+    _run(spark, log, seen, f"{folder}/progress", **options)
+    assert sorted(seen.batches) == [1, 2, 3, 4]
+
+
 def test_positions_are_checked(spark, folder, log):
     _put(spark, ROWS, log)
     with pytest.raises(ValueError):
