@@ -37,7 +37,11 @@ def preview(records: DataFrame, n: int, order_by: list[str] | None = None) -> Da
 
 
 def batch_stats(records: DataFrame) -> DataFrame:
-    """One row: the number of ``records`` and of ``partitions``, empty ones included."""
+    """One row: the number of ``records`` and of ``partitions``, empty ones included.
+
+    How many partitions there are shows only once the shuffles before them have run:
+    persist records that come out of one.
+    """
     partitions = records.rdd.getNumPartitions()
     return records.agg(F.count("*").alias("records")).withColumn("partitions", F.lit(partitions))
 

@@ -90,6 +90,7 @@ ORACLES: dict[str, str] = {
         SELECT event_id AS sequence_number, props AS value FROM events ORDER BY event_id LIMIT 10
     """,
     "batch_count": "SELECT count(*) AS records FROM events",
+    "batch_stats_spread": "SELECT count(*) AS records, 6 AS partitions FROM events",
     "microbatch_counts": """
         SELECT time_bucket(INTERVAL 1 HOUR, ts) AS batch_start, count(*) AS records
         FROM events GROUP BY 1

@@ -181,6 +181,11 @@ def batch_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_stats(event_records(spark, sf_dir)).select("records")
 
 
+def batch_stats_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and partitions of a batch that was spread."""
+    return batch_stats(event_records(spark, sf_dir).repartition(6))
+
+
 def microbatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return microbatch_counts(event_records(spark, sf_dir), "1 hour")
 
@@ -285,6 +290,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repartition_records": repartition_records,
     "batch_preview": batch_preview,
     "batch_count": batch_count,
+    "batch_stats_spread": batch_stats_spread,
     "microbatch_counts": microbatches,
     "put_records": put_events,
     "put_replay": put_replay,

@@ -31,14 +31,24 @@ def print_preview(n: int = 10, *, header: bool = False) -> Handler:
 
 
 def log_stats(n: int = 10) -> Handler:
-    """Log the record count, the partition count and the first ``n`` records."""
+    """Log the record count, the partition count and the first ``n`` records.
+
+    A batch that is not cached yet is while this runs, so that it is read and shuffled once.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        stats = batch_stats(batch).first()
-        logger.info("batch %d holds %d records", batch_id, stats["records"])
-        logger.info("batch %d lies in %d partitions", batch_id, stats["partitions"])
-        for row in preview(_texts(batch), n).collect():
-            logger.info("batch %d: %s", batch_id, ", ".join(map(str, row)))
+        shared = batch.is_cached
+        if not shared:
+            batch.persist()
+        try:
+            stats = batch_stats(batch).first()
+            logger.info("batch %d holds %d records", batch_id, stats["records"])
+            logger.info("batch %d lies in %d partitions", batch_id, stats["partitions"])
+            for row in preview(_texts(batch), n).collect():
+                logger.info("batch %d: %s", batch_id, ", ".join(map(str, row)))
+        finally:
+            if not shared:
+                batch.unpersist()
 
     return handle
 
