@@ -36,6 +36,9 @@ _MAY_HAVE = r"[0-9@]|(?i:passw|pwd|secret|token|key)|M[rsim]|Herr|Frau|Mon|Mad|S
 _SECRET_HEAD = r"^[\p{L}_-]+[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
 _NAME_HEAD = r"^\p{L}+\.? "
 _FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа)\b"
+# A secret of fewer letters and digits does not keep its form, nor does one
+# that had this many attempts.
+_LEAST_CHOICES, _FORM_ATTEMPTS = 8, 3
 # Names by gender and script; surnames are put together from syllables.
 _GIVEN = {
     ("f", "latin"): ["Alma", "Berta", "Clara", "Dina", "Elsa", "Flora", "Greta", "Hanna", "Ines", "Julia", "Karla", "Lena"],
@@ -105,6 +108,16 @@ def _same_form(text: Column, seed: Column) -> Column:
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
+def _secret(canon: Column, form: Column, seed: Column) -> Column:
+    """``form`` where it changes every letter and leaves choices enough; else letters and
+    digits from the key, one more with each attempt."""
+    choices = F.length(F.regexp_replace(canon, r"[^0-9\p{Lu}\p{Ll}]", ""))
+    keeps = canon.rlike(r"^[!-~\p{Lu}\p{Ll}]*$") & (choices >= _LEAST_CHOICES) & (F.col("attempt") < _FORM_ATTEMPTS)
+    at = F.sequence(F.lit(1), F.greatest(F.length(canon), F.lit(12)) + F.col("attempt"))
+    drawn = F.array_join(F.transform(at, lambda i: _letter("abcdefghijklmnopqrstuvwxyz0123456789", seed, i)), "")
+    return F.when(keeps, form).otherwise(drawn)
+
+
 def _luhn(digits: Column) -> Column:
     """The check sum modulo 10 of a string of digits, the last one not doubled."""
 
@@ -147,7 +160,7 @@ def _surrogate(key: str) -> Column:
         .when(kind == "aws_key", F.concat(F.substring(canon, 1, 4), F.substring(form, 5, 16)))
         .when(kind == "ssn", F.concat(F.lit("9"), F.substring(form, 2, 8)))
         .when(kind == "phone", F.concat(country, area)).when(kind == "iban", F.concat(F.substring(canon, 1, 2), F.substring(form, 3, 40)))
-        .when(kind.isin("name_f", "name_m"), name).otherwise(form)
+        .when(kind.isin("name_f", "name_m"), name).otherwise(_secret(canon, form, seed))
     )
 
 

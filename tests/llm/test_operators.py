@@ -221,6 +221,16 @@ def test_surrogates_of_many_entities_stay_distinct(spark):
     assert found == sorted(found, key=found.index) and {r["canon"] for r in found}.isdisjoint(r["surrogate"] for r in found)
 
 
+def test_secrets_whose_form_leaves_few_choices(spark):
+    secrets = ["********", "------", "密码密码密码", "пароль-密码是", "a1----", "******1", "секретик"]
+    secrets += [f"{i:02}####" for i in range(100)]
+    table = spark.createDataFrame([(i, f"password: {s} end") for i, s in enumerate(secrets)], "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in rows_of(pii.replace_entities(table))}
+    new = [re.fullmatch(r"password: (\S{6,}) end", found[i])[1] for i in range(len(secrets))]
+    assert len(set(new)) == len(secrets) and set(new).isdisjoint(secrets)
+    assert not any("密" in s for s in new)
+
+
 # 6: languages
 
 
