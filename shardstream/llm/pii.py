@@ -23,7 +23,7 @@ from shardstream.shared import pin
 PATTERNS = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}(?![\w-])",
     "aws_key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"\b(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[^\s\"',;]{6,512}",
+    "secret": r"\b(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[^\s\"',;]{6,}+",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": r"(?<![\w.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?!\w|\.\d)",
     "card": r"(?<![\w+-])(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}|[3-6]\d{12,18}|3\d{3}[ -]\d{6}[ -]\d{5})(?![\w-])",
@@ -32,7 +32,7 @@ PATTERNS = {
     "name": r"\b(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа)\.? \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+){0,2}",
 }
 # A text in which none of this occurs has no entity.
-_MAY_HAVE = r"[0-9@]|(?i:passw|pwd|secret|token|key)|M[rsim]|Herr|Frau|Mon|Mad|S[er]|Госп"
+_MAY_HAVE = r"[0-9@]|(?i:passw|pwd|secret|token|key)|AKIA|ASIA|M[rsim]|Herr|Frau|Mon|Mad|S[er]|Госп"
 _SECRET_HEAD = r"^[\p{L}_-]+[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
 _NAME_HEAD = r"^\p{L}+\.? "
 _FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа)\b"
