@@ -7,6 +7,11 @@ same surrogate. Surrogates that two entities share, or that occur in the input a
 entity, are derived again with the next attempt until none is left, so that different
 entities stay different.
 
+A name is what follows a title. Each of its words is an entity of its own: the last one a
+surname, those before it given names. So a person keeps the surname whatever else is
+mentioned, and capitalised words of a text that belong to one of its titled names are
+replaced there too, without a title. Names never mentioned with a title are not found.
+
 Texts are rebuilt from what lies between the mentions. Texts without entities are
 returned as they are, also null and empty ones. Repeated rows get the same surrogates.
 Only the text column is replaced; all others are kept.
@@ -19,6 +24,11 @@ from pyspark.sql import functions as F
 
 from shardstream.shared import pin
 
+# Titles, and words of names.
+_FEMALE = r"(?<!\p{L})(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа)(?!\p{L})"
+_MALE = r"(?<!\p{L})(?:Mr|Herr|Monsieur|Señor|Sr|Господин)(?!\p{L})"
+_TITLES = r"(?:(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа|Dr|Prof)\.? ){1,4}+"
+_NAME_WORD = r"\p{Lu}[\p{L}\p{M}'’-]+"
 # Patterns of entities, each starting where nothing of its kind goes before.
 PATTERNS = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}(?![\w-])",
@@ -29,13 +39,15 @@ PATTERNS = {
     "card": r"(?<![\w+-])(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}|[3-6]\d{12,18}|3\d{3}[ -]\d{6}[ -]\d{5})(?![\w-])",
     "phone": r"(?<![\w+(])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{3}[.-])\d{3,4}[ .-]\d{3,4}(?![\w-])|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "name": r"\b(?:Mr|Mrs|Ms|Miss|Herr|Frau|Monsieur|Madame|Mme|Señor|Señora|Sr|Sra|Господин|Госпожа)\.? \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+){0,2}",
+    "name": rf"(?<![\p{{L}}\p{{M}}\w]){_TITLES}{_NAME_WORD}(?: {_NAME_WORD}){{0,2}}",
 }
 # A text in which none of this occurs has no entity.
-_MAY_HAVE = r"[0-9@]|(?i:passw|pwd|secret|token|key)|AKIA|ASIA|M[rsim]|Herr|Frau|Mon|Mad|S[er]|Госп"
+_MAY_HAVE = r"[0-9@]|(?i:passw|pwd|secret|token|key)|AKIA|ASIA|M[rsim]|Herr|Frau|Mon|Mad|S[er]|Госп|Dr|Prof"
 _SECRET_HEAD = r"^[\p{L}_-]+[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
-_NAME_HEAD = r"^\p{L}+\.? "
-_FEMALE = r"^(?:Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа)\b"
+_NAME_HEAD = f"^{_TITLES}"
+# A word that may be a name's untitled mention, and what a form adds to a name.
+_UNTITLED = r"(?<![\p{L}\p{M}\p{N}_])\p{Lu}[\p{L}\p{M}]++(?:['’-][\p{L}\p{M}]++)*+(?![\p{N}_])"
+_NAME_TAIL = r"(?:['’]s?|-)+$"
 # A secret of fewer letters and digits does not keep its form, nor does one
 # that had this many attempts.
 _LEAST_CHOICES, _FORM_ATTEMPTS = 8, 3
@@ -43,8 +55,10 @@ _LEAST_CHOICES, _FORM_ATTEMPTS = 8, 3
 _GIVEN = {
     ("f", "latin"): ["Alma", "Berta", "Clara", "Dina", "Elsa", "Flora", "Greta", "Hanna", "Ines", "Julia", "Karla", "Lena"],
     ("m", "latin"): ["Adam", "Bruno", "Carlo", "David", "Emil", "Felix", "Georg", "Hugo", "Ivan", "Jonas", "Karl", "Leon"],
+    ("n", "latin"): ["Alex", "Charlie", "Jules", "Kim", "Noa", "Robin", "Sam", "Sascha"],
     ("f", "cyrillic"): ["Анна", "Вера", "Галина", "Дарья", "Елена", "Жанна", "Зоя", "Ирина"],
     ("m", "cyrillic"): ["Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Захар", "Игорь"],
+    ("n", "cyrillic"): ["Валя", "Женя", "Саша", "Слава"],
 }
 _SYLLABLES = {
     "latin": ["bar", "dor", "fel", "gan", "hol", "kem", "lin", "mar", "nes", "por", "rad", "sel", "tam", "ver", "win", "zor"],
@@ -69,21 +83,53 @@ def _kind(match: Column) -> Column:
 
 def _entities(matches: DataFrame) -> DataFrame:
     """Split each distinct ``match`` in ``head`` and ``value``; ``canon`` is the same for one entity's forms."""
-    kind = _kind(F.col("match"))
-    head = F.when(F.col("kind") == "secret", F.regexp_extract("match", _SECRET_HEAD, 0)).when(
-        F.col("kind") == "name", F.regexp_extract("match", _NAME_HEAD, 0)
-    )
-    gender = F.when(F.col("head").rlike(_FEMALE), "name_f").otherwise("name_m")
+    head = F.when(F.col("kind") == "secret", F.regexp_extract("match", _SECRET_HEAD, 0)).otherwise("")
     value = F.substring(F.col("match"), F.length("head") + 1, F.length("match"))
     canon = (
         F.when(F.col("kind") == "email", F.lower("value"))
         .when(F.col("kind").isin("ssn", "card", "phone"), F.regexp_replace("value", r"\D", ""))
         .when(F.col("kind") == "iban", F.regexp_replace("value", " ", "")).otherwise(F.col("value"))
     )
-    return (
-        matches.withColumn("kind", kind).withColumn("head", F.coalesce(head, F.lit(""))).withColumn("value", value)
-        .withColumn("kind", F.when(F.col("kind") == "name", gender).otherwise(F.col("kind"))).withColumn("canon", canon)
-    )
+    return matches.withColumn("kind", _kind(F.col("match"))).withColumn("head", head).withColumn("value", value).withColumn("canon", canon)
+
+
+def _name(match: Column) -> tuple[Column, Column]:
+    """The titles of a name, and its words."""
+    head = F.regexp_extract(match, _NAME_HEAD, 0)
+    return head, F.split(F.substring(match, F.length(head) + 1, F.length(match)), " ")
+
+
+def _core(word: Column) -> Column:
+    return F.regexp_replace(word, _NAME_TAIL, "")
+
+
+def _name_words(mentions: DataFrame) -> DataFrame:
+    """``canon`` and ``kind`` of each word of the names in each text ``key``; one kind in a text."""
+    names = mentions.select("key", F.explode("matches").alias("match")).where(F.col("match").rlike(_NAME_HEAD))
+    head, words = _name(F.col("match"))
+    names = names.select("key", head.alias("head"), F.size(words).alias("n"), F.posexplode(words).alias("at", "word"))
+    given = F.when(F.col("head").rlike(_FEMALE), "name_f").when(F.col("head").rlike(_MALE), "name_m").otherwise("name_n")
+    kind = F.when(F.col("at") == F.col("n") - 1, "name").otherwise(given)
+    return names.groupBy("key", F.lower(_core(F.col("word"))).alias("canon")).agg(F.min(kind).alias("kind"))
+
+
+def _renamed(word: Column, names: Column) -> Column:
+    """The word's surrogate out of ``names``, in the word's form; null if it is none."""
+    core = _core(word)
+    new = names[F.lower(core)]
+    new = F.when(core == F.upper(core), F.upper(new)).otherwise(F.initcap(new))
+    return F.concat(new, F.substring(word, F.length(core) + 1, F.length(word)))
+
+
+def _renamed_name(match: Column, names: Column) -> Column:
+    head, words = _name(match)
+    return F.concat(head, F.array_join(F.transform(words, lambda w: _renamed(w, names)), " "))
+
+
+def _renamed_untitled(word: Column, names: Column) -> Column:
+    """The word with a surrogate for it or for what hyphens part in it."""
+    pieces = F.transform(F.split(word, "-"), lambda p: F.coalesce(_renamed(p, names), p))
+    return F.coalesce(_renamed(word, names), F.when(word.contains("-"), F.array_join(pieces, "-")), word)
 
 
 def _draw(seed: Column, at: Column | int, n: int) -> Column:
@@ -144,15 +190,19 @@ def _surrogate(key: str) -> Column:
     last = F.pmod(_luhn(canon) - _luhn(F.concat(head, F.lit("0"))), F.lit(10)).cast("string")
     ip = F.concat_ws(".", (_draw(seed, 0, 222) + 1).cast("string"), *(_draw(seed, i, 256).cast("string") for i in (1, 2, 3)))
     syllables = {script: F.array(*map(F.lit, parts)) for script, parts in _SYLLABLES.items()}
-    cyrillic, female = canon.rlike(r"\p{IsCyrillic}"), kind == "name_f"
-    names = F.when(cyrillic & female, F.array(*map(F.lit, _GIVEN["f", "cyrillic"]))).when(cyrillic, F.array(*map(F.lit, _GIVEN["m", "cyrillic"])))
-    names = names.when(female, F.array(*map(F.lit, _GIVEN["f", "latin"]))).otherwise(F.array(*map(F.lit, _GIVEN["m", "latin"])))
+    cyrillic = canon.rlike(r"\p{IsCyrillic}")
     parts = F.when(cyrillic, syllables["cyrillic"]).otherwise(syllables["latin"])
-    surname = F.initcap(
-        F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4) + F.col("attempt")), lambda i: F.get(parts, _draw(seed, i, 16))), "")
-    )
-    given = F.get(names, F.pmod(F.xxhash64(seed, F.lit(0)), F.size(names)).cast("int"))
-    name = F.when(canon.contains(" "), F.concat_ws(" ", given, surname)).otherwise(surname)
+
+    def put_together(n: Column) -> Column:
+        return F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.get(parts, _draw(seed, i, 16))), "")
+
+    gender = F.substring(kind, 6, 1)
+    names = F.lit(None)
+    for (g, script), listed in _GIVEN.items():
+        names = F.when((gender == g) & (cyrillic if script == "cyrillic" else ~cyrillic), F.array(*map(F.lit, listed))).otherwise(names)
+    given = F.lower(F.get(names, F.pmod(F.xxhash64(seed, F.lit(0)), F.size(names)).cast("int")))
+    given = F.when(F.col("attempt") == 0, given).otherwise(F.concat(given, put_together(F.col("attempt") + 1)))
+    name = F.when(kind == "name", put_together(F.col("attempt") + 4)).otherwise(given)
     country = F.when(F.length(canon) > 10, F.substring(canon, F.lit(1), F.length(canon) - 10)).otherwise("")
     area = F.concat(_letter("23456789", seed, F.lit(-1)), F.substring(form, F.length(country) + 2, F.length(canon)))
     return (
@@ -160,7 +210,7 @@ def _surrogate(key: str) -> Column:
         .when(kind == "aws_key", F.concat(F.substring(canon, 1, 4), F.substring(form, 5, 16)))
         .when(kind == "ssn", F.concat(F.lit("9"), F.substring(form, 2, 8)))
         .when(kind == "phone", F.concat(country, area)).when(kind == "iban", F.concat(F.substring(canon, 1, 2), F.substring(form, 3, 40)))
-        .when(kind.isin("name_f", "name_m"), name).otherwise(_secret(canon, form, seed))
+        .when(kind.startswith("name"), name).otherwise(_secret(canon, form, seed))
     )
 
 
@@ -201,14 +251,34 @@ def replace_entities(docs: DataFrame, key: str = "surrogates", text: str = "text
     some = docs.where(may_have).select(here.alias("text"))
     mentions = some.select(F.md5("text").alias("key"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("matches"))
     mentions = pin(mentions.where(F.size("matches") > 0).distinct(), "mentions")
-    entities = pin(_entities(mentions.select(F.explode("matches").alias("match")).distinct()), "mentioned")
-    made = entities.join(surrogates(entities, key), ["kind", "canon"]).select("match", _rendered().alias("new"))
-    placed = mentions.select("key", F.posexplode("matches").alias("at", "match")).join(pin(made, "replacements"), "match")
-    placed = placed.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "new"))).alias("new"))
-    placed = pin(placed.select(F.col("key").alias("__key"), F.col("new.new").alias("__new")), "placed")
-    parts = F.zip_with(F.split(here, pattern, -1), "__new", lambda part, new: F.concat(part, F.coalesce(new, F.lit(""))))
+    entities = pin(_entities(mentions.select(F.explode("matches").alias("match")).distinct()).where("kind <> 'name'"), "mentioned")
+    words = pin(_name_words(mentions), "name-words")
+    new = surrogates(entities.select("kind", "canon").unionByName(words.select("kind", "canon")), key)
+    made = entities.join(new, ["kind", "canon"]).select("match", _rendered().alias("new"))
+    names = words.join(new, ["kind", "canon"]).groupBy("key").agg(
+        F.map_from_entries(F.collect_list(F.struct("canon", "surrogate"))).alias("names")
+    )
+    # A name's words are looked up in its own text; it has no replacement of its own.
+    placed = mentions.select("key", F.posexplode("matches").alias("at", "match")).join(pin(made, "replacements"), "match", "left")
+    mention = F.struct("at", F.when(F.col("new").isNull(), F.col("match")).alias("name"), "new")
+    placed = placed.groupBy("key").agg(F.sort_array(F.collect_list(mention)).alias("new")).join(names, "key", "left")
+    fresh = F.transform("new", lambda m: F.coalesce(m["new"], _renamed_name(m["name"], F.col("names"))))
+    placed = pin(placed.select(F.col("key").alias("__key"), fresh.alias("__new"), F.col("names").alias("__names")), "placed")
+
+    def untitled(part: Column) -> Column:
+        return F.regexp_extract_all(part, F.lit(_UNTITLED), F.lit(0))
+
+    def renamed(part: Column) -> Column:
+        put = lambda rest, word: F.concat(rest, F.coalesce(_renamed_untitled(word, F.col("__names")), F.lit("")))
+        return F.array_join(F.zip_with(F.split(part, _UNTITLED, -1), untitled(part), put), "")
+
+    between = F.split(here, pattern, -1)
+    between = F.when(F.col("__names").isNotNull(), F.transform(between, renamed)).otherwise(between)
+    parts = F.zip_with(between, "__new", lambda part, new: F.concat(part, F.coalesce(new, F.lit(""))))
     changed = docs.where(may_have).withColumn("__key", F.md5(text)).join(placed, "__key", "left")
-    count = F.coalesce(F.size("__new"), F.lit(0)).alias("__entities")
+    other = F.flatten(F.transform(F.split(here, pattern, -1), untitled))
+    other = F.size(F.filter(other, lambda w: _renamed_untitled(w, F.col("__names")) != w))
+    count = F.coalesce(F.size("__new"), F.lit(0)) + F.when(F.col("__names").isNotNull(), other).otherwise(0)
     replaced = F.when(F.col("__new").isNotNull(), F.array_join(parts, "")).otherwise(here).alias(text)
-    rows = changed.select(*(replaced if name == text else F.col(name) for name in docs.columns), count)
+    rows = changed.select(*(replaced if name == text else F.col(name) for name in docs.columns), count.alias("__entities"))
     return rows.unionByName(docs.where(~may_have).withColumn("__entities", F.lit(0)))

@@ -242,6 +242,26 @@ def test_long_secrets_and_keys_of_letters_only(spark):
     assert not any("ABCDEFGHIJKLMNOP" in r["text"] for r in found.values()) and {r["__entities"] for r in found.values()} == {1}
 
 
+def test_names_are_the_same_with_and_without_title(spark):
+    text = (
+        "Mr John Smith met Dr. Anna Meier and Herr Prof. Dr. Weber. Mr Smith's dog: SMITH, John Smith, a Smith-led Smith’s. "
+        "Smithson and Smith2 stay. Mrs Meier saw Anna and Господин Иван Петров, Петров saw smith and 密. password=Smith-Smith1"
+    )
+    table = spark.createDataFrame([(1, text), (2, "Smith and Weber, no 1"), (3, "Frau Smith, Mr SMITH")], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in rows_of(pii.replace_entities(table))}
+    W = r"([^\W\d]+)"
+    new = re.fullmatch(
+        rf"Mr {W} {W} met Dr\. {W} {W} and Herr Prof\. Dr\. {W}\. Mr {W}'s dog: {W}, {W} {W}, a {W}-led {W}’s\. "
+        rf"Smithson and Smith2 stay\. Mrs {W} saw {W} and Господин {W} {W}, {W} saw smith and 密\. password=\S+", found[1]["text"],
+    ).groups()
+    john, smith, anna, meier, weber = new[:5]
+    assert new[5:13] == (smith, smith.upper(), john, smith, smith, smith, meier, anna) and new[14] == new[15]
+    assert len({john, smith, anna, meier, weber, *new[13:15]}) == 7 and re.fullmatch("[А-я]+", new[13] + new[14])
+    assert not {w.lower() for w in new} & {"john", "smith", "anna", "meier", "weber", "иван", "петров"}
+    assert found[1]["__entities"] == 14
+    assert found[2]["text"] == "Smith and Weber, no 1" and found[3]["text"] == f"Frau {smith}, Mr {smith.upper()}"
+
+
 # 6: languages
 
 
