@@ -16,11 +16,12 @@ from shardstream.shared import pin
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules keep. Those without an id cannot be named in labels or
-    verdicts; they go. Rows sharing an id stay if the rules keep all of them."""
+    """Documents that the rules keep. A verdict depends on the text alone and is joined by
+    it, so each row gets its own, also without an id or with one that others share."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    verdicts = rules.judge(docs, labels).groupBy("doc_id").agg(F.min("kept").alias("kept"))
-    return docs.join(pin(verdicts.where("kept").select("doc_id"), "kept"), "doc_id", "left_semi").select(docs.columns)
+    rows = docs.withColumn("__key", F.unhex(F.md5("text")))
+    kept = rules.judge(rows, labels, more=("__key",)).where("kept").select("__key").distinct()
+    return rows.join(pin(kept, "kept"), "__key", "left_semi").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -121,15 +121,15 @@ def verdict(rules: list[Rule]) -> Column:
     return chain.otherwise(F.lit(True))
 
 
-def judge(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``doc_id``, the counts of ``COUNTS``, ``base_failed`` and ``kept`` for each document.
+def judge(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, more: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the columns ``more``, the counts of ``COUNTS``, ``base_failed`` and ``kept`` for each document.
 
     The base rules reject fewer than 50 words, and texts of which more than half the
     words lie in repeated three-word windows. The learned ones judge what is left; they
     are learned from labelled rows that pass the base rules.
     """
-    statistics = pin(document_statistics(docs), "statistics")
+    statistics = pin(document_statistics(docs, more=more), "statistics")
     base_failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     sample = labelled_sample(statistics.where(~base_failed), labels, "quality", sample_rows, held_out=False)
     rules = learn(sample[:, 2:], sample[:, 1] == 0, sample[:, 0])
-    return statistics.select("doc_id", *COUNTS, base_failed.alias("base_failed"), (~base_failed & verdict(rules)).alias("kept"))
+    return statistics.select("doc_id", *more, *COUNTS, base_failed.alias("base_failed"), (~base_failed & verdict(rules)).alias("kept"))

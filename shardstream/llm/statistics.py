@@ -111,17 +111,21 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     }
 
 
-def document_statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def document_statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the columns ``more``, ``COUNTS`` and ``RATIOS`` for each row."""
+
     def run(batches):
         for block in blocks(batches, "text", 1 << 18):
             found = measure(block.column("text"))
             counts = [pa.array(found[name].astype(np.int64)) for name in COUNTS]
-            yield batch(schema, block.column("doc_id"), *counts, *(pa.array(found[name].astype(float)) for name in RATIOS))
+            taken = (block.column(name) for name in ("doc_id", *more))
+            yield batch(schema, *taken, *counts, *(pa.array(found[name].astype(float)) for name in RATIOS))
 
     schema = fields(
-        doc_id=docs.schema[doc_id].dataType, **dict.fromkeys(COUNTS, T.LongType()), **dict.fromkeys(RATIOS, T.DoubleType())
+        doc_id=docs.schema[doc_id].dataType, **{name: docs.schema[name].dataType for name in more},
+        **dict.fromkeys(COUNTS, T.LongType()), **dict.fromkeys(RATIOS, T.DoubleType())
     )
-    return map_arrow(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), run, schema)
+    return map_arrow(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *more), run, schema)
 
 
 def labelled_sample(statistics: DataFrame, labels: DataFrame, label: str, bound: int, held_out: bool) -> np.ndarray:

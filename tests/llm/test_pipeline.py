@@ -25,6 +25,16 @@ def test_stages(spark, docs, labels, folder):
     assert all(sum(q.length for q in pieces if q.doc_id == p.doc_id) == p.doc_tokens for p in pieces[:20])
 
 
+def test_quality_rules_judge_each_row(spark, docs, labels, texts, folder):
+    labels.write.parquet(f"{folder}/labels.parquet")
+    clean, other = texts[1][0], texts[2][0]
+    more = [(None, clean, "en", "new", 1), (7, other, "en", "new", 1), (7, "too short", "en", "new", 1), (None, None, None, "new", 0)]
+    given = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    given = given.unionByName(spark.createDataFrame(more, given.schema))
+    kept = corpus_pipeline.quality_rules(spark, given, folder).where("doc_id IS NULL OR doc_id = 7").collect()
+    assert {(r.doc_id, r.text) for r in kept} == {(None, clean), (7, other), (7, texts[7][0])} and len(kept) == 3
+
+
 def test_stages_take_empty_tables(spark, empty, labels, folder):
     empty.write.parquet(f"{folder}/documents.parquet")
     labels.write.parquet(f"{folder}/labels.parquet")
