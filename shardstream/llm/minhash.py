@@ -17,7 +17,7 @@ limit on bucket sizes; a pair of similarity 0.8 shares no band of 32 with probab
 
 A null text is alone in its class, empty texts and texts without words are linked with
 equal texts only. Rows with the same id and text are one document. The class of rows
-without ids is null. Columns other than the two read change nothing; an empty table gives
+without ids is null; one text of it is kept. Columns other than the two read change nothing; an empty table gives
 an empty result.
 """
 
@@ -117,7 +117,8 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 
 def _distinct(docs: DataFrame) -> DataFrame:
-    """A row per distinct text: ``key``, ``id``, ``first_id`` and the bands (null without words)."""
+    """A row per distinct text: ``key``, ``id`` (a number, to be written before use), ``first_id``
+    and the bands (null without words)."""
 
     def run(batches):
         for block in blocks(batches, "text", 1 << 18):
@@ -131,7 +132,7 @@ def _distinct(docs: DataFrame) -> DataFrame:
     schema = fields(doc_id=T.LongType(), key=T.BinaryType(), bands=T.ArrayType(T.LongType()))
     rows = map_arrow(docs.where("text IS NOT NULL"), run, schema)
     distinct = rows.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"))
-    return distinct.withColumn("id", F.coalesce("first_id", -F.abs(F.xxhash64("key")) - 1))
+    return distinct.withColumn("id", F.monotonically_increasing_id())
 
 
 def _texts(docs: DataFrame, ids: DataFrame, distinct: DataFrame) -> DataFrame:
@@ -247,11 +248,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, doc_id: str = "doc_
 
     named = distinct.select("key", "id", "first_id").join(classes, "id", "left").withColumn("class", F.coalesce("component", "id"))
     named = pin(named.select("key", "first_id", "class"), "named")
-    least = named.groupBy("class").agg(F.min("first_id").alias("class_id"))
-    named = named.join(least, "class").select("key", "class_id", F.lit(True).alias("found"))
-    class_id = F.when(F.col("found"), F.col("class_id")).otherwise(F.col("doc_id"))
+    # Of texts with the least id, and in a class without ids, the one of the least key is kept.
+    least = named.groupBy("class").agg(F.min(F.struct(F.col("first_id").isNull(), "first_id", "key")).alias("least"))
+    chosen = F.col("key") == F.col("least.key")
+    named = named.join(least, "class").select("key", F.col("least.first_id").alias("class_id"), chosen.alias("chosen"))
+    class_id = F.when(F.col("chosen").isNotNull(), F.col("class_id")).otherwise(F.col("doc_id"))
+    kept = F.col("doc_id").eqNullSafe(class_id) & F.coalesce("chosen", F.lit(True))
     return docs.select("doc_id", "key").join(named, "key", "left").select(
-        "doc_id", "key", class_id.alias("class_id"), F.col("doc_id").eqNullSafe(class_id).alias("kept")
+        "doc_id", "key", class_id.alias("class_id"), kept.alias("kept")
     )
 
 

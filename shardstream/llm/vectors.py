@@ -204,13 +204,13 @@ def near_duplicates(
     Links are pairs of equal label and a cosine of at least ``threshold``.
     """
     kind = "<f4" if vectors.schema[embedding].dataType == T.ArrayType(T.FloatType(), True) else "<f8"
-    rows = pin(_prepared(vectors, vec_id, embedding, label, kind), "vectors")
+    rows = pin(_prepared(vectors, vec_id, embedding, label, kind).withColumn("row", F.monotonically_increasing_id()), "vectors")
     usable = rows.where(F.col("key").isNotNull())
     distinct = usable.groupBy("key").agg(
-        F.min("vec_id").cast("bigint").alias("first_id"), F.count("*").alias("times"), F.first("label").alias("label"), F.first("data").alias("data")
+        F.min("vec_id").cast("bigint").alias("first_id"), F.min("row").alias("row"), F.count("*").alias("times"), F.first("label").alias("label"), F.first("data").alias("data")
     )
-    # The least id names a distinct vector in links; what has none gets a negative number.
-    distinct = pin(distinct.withColumn("id", F.coalesce("first_id", -F.abs(F.xxhash64("key")) - 1)), "distinct-vectors")
+    # A written number names a distinct vector in links: ids may be null or shared.
+    distinct = pin(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct-vectors")
     share = min(1.0, SAMPLE_VECTORS / max(distinct.count(), 1))
     drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30))
     sample = distinct.where(drawn | F.lit(share == 1.0)).select("data").orderBy("data").toArrow().column("data").to_pylist()
@@ -273,15 +273,18 @@ def near_duplicates(
     linked = distinct.join(links, "id", "left").join(classes, "id", "left").select(
         "key", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "id").alias("class")
     )
-    # A negative class is one without an id; any id in it is larger.
     linked = pin(linked, "linked")
     names = (
-        distinct.join(linked, "key").groupBy("class").agg(F.min("first_id").alias("least_id"))
+        distinct.join(linked, "key").groupBy("class").agg(F.min(F.struct(F.col("first_id").isNull(), "first_id", "key", "row")).alias("least"))
     )
-    linked = pin(linked.join(names, "class").select("key", "n_links", "least_id"), "classes")
+    least = F.col("least.first_id").alias("least_id"), F.col("least.key").alias("least_key"), F.col("least.row").alias("least_row")
+    linked = pin(linked.join(names, "class").select("key", "n_links", *least), "classes")
     kind = rows.schema["vec_id"].dataType
     component = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("least_id").cast(kind))
-    return rows.select("vec_id", "key").join(linked, "key", "left").select(
+    # Of vectors with the least id the one of the least key is kept, of a component without ids one row.
+    chosen = (F.col("key") == F.col("least_key")) & (F.col("least_id").isNotNull() | (F.col("row") == F.col("least_row")))
+    kept = F.col("vec_id").eqNullSafe(component) & F.coalesce(chosen, F.lit(True))
+    return rows.select("vec_id", "key", "row").join(linked, "key", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"),
-        F.col("vec_id").eqNullSafe(component).alias("kept"),
+        kept.alias("kept"),
     )

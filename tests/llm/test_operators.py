@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import random
 import re
 import zlib
@@ -83,6 +84,33 @@ def test_traversal_visits_every_cell_within_reach_nearest_first():
         assert (np.diff(way[i][own]) >= -1e-12).all()
 
 
+def test_vectors_that_share_or_lack_ids(spark):
+    rng = np.random.default_rng(6)
+    one, two, three, *rest = rng.normal(size=(300, 16))
+    near = lambda v: (v + 0.001).tolist()
+    given = [(5, one.tolist(), 0), (5, two.tolist(), 0), (9, near(one), 0), (None, three.tolist(), 0), (None, near(three), 0), (None, three.tolist(), 0)]
+    given += [(100 + i, v.tolist(), 0) for i, v in enumerate(rest)]
+    found = rows_of(vectors.near_duplicates(spark.createDataFrame(given, "vec_id long, embedding array<float>, label int")))
+    by = defaultdict(list)
+    for r in found:
+        by[r["vec_id"]].append((r["n_links"], r["component_id"], r["kept"]))
+    assert sorted(by[5]) == [(0, 5, True), (1, 5, True)] and by[9] == [(1, 5, False)]
+    assert sorted(by[None]) == [(2, None, False), (2, None, False), (2, None, True)]
+
+
+def test_texts_that_share_or_lack_ids(spark):
+    rng = random.Random(8)
+    a, b, c = (" ".join(f"w{rng.randrange(9**9)}" for _ in range(120)) for _ in range(3))
+    given = [(5, a), (5, b), (3, b + " end"), (7, a + " end"), (None, c), (None, c + " end"), (None, c)]
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    found = {(r["doc_id"], r["key"].hex()): (r["class_id"], r["kept"]) for r in rows_of(minhash.near_duplicates(docs))}
+    key = lambda text: hashlib.md5(text.encode()).hexdigest()
+    assert [found[i, key(t)] for i, t in given[:4]] == [(5, True), (3, False), (3, True), (5, False)]
+    assert sorted(found[None, key(t)] for t in (c, c + " end")) == [(None, False), (None, True)]
+    left = [(r["doc_id"], r["text"]) for r in rows_of(minhash.without_duplicates(docs))]
+    assert len(left) == 3 and {(5, a), (3, b + " end")} < set(left)
+
+
 # 2: packing
 
 
