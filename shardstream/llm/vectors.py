@@ -139,12 +139,16 @@ def _prepared(vectors: DataFrame, vec_id: str, embedding: str, label: str, kind:
         "v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     ) & F.exists("v", lambda x: x != 0)
 
+    def digest(label, x: bytes) -> bytes:
+        name = repr(label).encode()
+        return hashlib.blake2b(len(name).to_bytes(8, "big") + name + x, digest_size=16).digest()
+
     def run(batches):
         for rows in batches:
             v = [None if x is None else np.array(x, kind) for x in rows.column("v").to_pylist()]
             data = [None if x is None else x.tobytes() for x in v]
             keys = [
-                None if x is None else hashlib.blake2b(x, digest_size=16, key=repr(label).encode()[:64]).digest()
+                None if x is None else digest(label, x)
                 for x, label in zip(data, rows.column("label").to_pylist(), strict=True)
             ]
             yield batch(schema, rows.column("vec_id"), rows.column("label"), pa.array(keys, pa.binary()), pa.array(data, pa.binary()))

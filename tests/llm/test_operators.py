@@ -111,6 +111,12 @@ def test_texts_that_share_or_lack_ids(spark):
     assert len(left) == 3 and {(5, a), (3, b + " end")} < set(left)
 
 
+def test_vectors_of_labels_that_differ_late(spark):
+    given = [(i, [1.0, 2.0], "x" * 100 + str(i // 2)) for i in range(4)]
+    found = rows_of(vectors.near_duplicates(spark.createDataFrame(given, "vec_id long, embedding array<float>, label string")))
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in found) == [(0, 1, 0), (1, 1, 0), (2, 1, 2), (3, 1, 2)]
+
+
 # 2: packing
 
 
