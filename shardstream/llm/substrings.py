@@ -1,11 +1,15 @@
-"""Removal of repeated passages by compaction of a sparse de Bruijn graph of word k-mers.
+"""Removal of repeated passages by minimizer nodes and their contexts.
 
-The edges are all windows of ``WINDOW`` consecutive words. The nodes are the ``NODE``-word
+This is a form of de Bruijn compaction that builds no edges between nodes, joins no nodes
+into paths and verifies no source coordinates: which windows repeat is decided node by node.
+
+Compared are all windows of ``WINDOW`` consecutive words. The nodes are the ``NODE``-word
 k-mers that are least by hash in some window (the leftmost of equal ones), so each window
 belongs to one node, equal windows to equal nodes at equal places. What lies around a node
 as far as its windows reach is its context. A node that occurs once has no repeated
 window. One that occurs in one context only does not branch: all its windows are repeated
-and compact into one row, however long the passage. Only at branching nodes are windows
+and take one row per text and context; a long passage keeps a row for each of its nodes.
+Only at branching nodes are windows
 compared one by one, for contexts found once, against one source text of each other
 context. Spark joins carry the decisions to the coordinates of the texts, where the
 windows are found again and the words they cover are removed.
