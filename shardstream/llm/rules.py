@@ -12,6 +12,8 @@ both kinds there are no learned rules.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -116,8 +118,7 @@ def verdict(rules: list[Rule]) -> Column:
     """True for rows that no rule rejects: the rules in order, as one conditional expression."""
     chain = F.when(F.lit(False), F.lit(False))
     for rule in rules:
-        conditions = [c.column() for c in rule]
-        chain = chain.when(np.logical_and.reduce(conditions) if len(conditions) > 1 else conditions[0], F.lit(False))
+        chain = chain.when(reduce(and_, [c.column() for c in rule]), F.lit(False))
     return chain.otherwise(F.lit(True))
 
 

@@ -216,6 +216,40 @@ def test_base_statistics_and_rules(spark, docs, labels, empty, texts):
         assert found == base(odd[r["doc_id"]])
 
 
+def test_verdicts_of_conjunctions_agree_with_numpy(spark):
+    rng = np.random.default_rng(4)
+    x = rng.random((200, len(rules.RATIOS))).round(2)
+    table = spark.createDataFrame(list(map(tuple, x.tolist())), ", ".join(f"{name} double" for name in rules.RATIOS))
+    for conditions in range(1, 5):
+        for _ in range(3):
+            chosen = [
+                tuple(rules.Condition(str(rng.choice(rules.RATIOS)), bool(rng.integers(2)), float(rng.random())) for _ in range(conditions))
+                for _ in range(3)
+            ]
+            found = [r.kept for r in table.select(rules.verdict(chosen).alias("kept")).collect()]
+            assert found == (~np.logical_or.reduce([rules._covered(rule, x) for rule in chosen])).tolist()
+
+
+def two_conditions(rng, n=600):
+    """Texts that are bad only where capitals and digits come together."""
+    rows = []
+    for i in range(n):
+        capitals, digits = i % 2, i // 2 % 2
+        words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(80)]
+        words = [w.upper() if capitals and rng.random() < 0.6 else w for w in words]
+        words = [str(rng.randint(10**4, 10**5)) if digits and rng.random() < 0.4 else w for w in words]
+        rows.append((i, " ".join(words), int(not (capitals and digits))))
+    return rows
+
+
+def test_rules_learn_conjunctions(spark):
+    rows = two_conditions(random.Random(2))
+    docs = spark.createDataFrame([(i, text) for i, text, _ in rows], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, quality, 0) for i, _, quality in rows], "doc_id long, quality int, toxic int")
+    found = {r["doc_id"]: r["kept"] for r in rows_of(rules.judge(docs, marks))}
+    assert sum(found[i] == bool(quality) for i, _, quality in rows) >= 0.97 * len(rows)
+
+
 # 4: surrogates
 
 
