@@ -17,8 +17,11 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +33,12 @@ from shardstream.llm.arrow import batch, fields, map_arrow
 from shardstream.llm.words import blocks
 from shardstream.shared import pin
 
-#: Words, and parts of words, whose ids a Python worker keeps; beyond it a cache starts anew.
-CACHED_WORDS, CACHED_PARTS = 500_000, 900_000
-#: Parts that go to the tokenizer as one text.
+#: Words whose ids a Python worker keeps; beyond it the cache starts anew.
+CACHED_WORDS = 900_000
+#: Words that go to the tokenizer as one text.
 _AT_ONCE = 500
-#: Marks that a word's letters and the marks behind them never form a token with.
-_MARKS = b".,!?;:#$%&*"
+#: Marks between a letter (ASCII's or U+00C0 to U+00FF) and white space: no token holds both.
+_MARK = re.compile(rb"[.,!?;:#$%&*](?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[.,!?;:#$%&*]*(?=\s)")
 
 _tokenizers: dict[str, _Tokens] = {}
 
@@ -45,41 +48,40 @@ class _Tokens(dict):
 
     The tokenizer drops white space and case and never joins across white space, nor
     letters with the marks behind them. So a text has the ids of its words one after the
-    other, a word those of its parts, and each part is tokenized once while cached.
+    other, and each word is tokenized once while cached. One of small letters only is what
+    the tokenizer's model sees, with its bytes shown as characters, and goes straight to it.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.parts: dict[bytes, bytes] = {b"": b""}
+        self.model = self.tokenizer.model
+        self.shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
 
     def _learn(self, words: set[bytes]) -> None:
-        split = {}
+        tokenize, mixed = self.model.tokenize, []
         for word in words:
-            word_low = word.lower()  # of ASCII letters only
-            head = word_low.rstrip(_MARKS)
-            split[word] = (head, word_low[len(head) :]) if head[-1:].isalpha() else (word_low, b"")
-        new = {part for pair in split.values() for part in pair}.difference(self.parts)
-        if len(self.parts) + len(new) > CACHED_PARTS:
-            self.parts = {b"": b""}
-            new = {part for pair in split.values() for part in pair if part}
-        parts = list(new)
-        for i in range(0, len(parts), _AT_ONCE):
-            some = [part.decode() for part in parts[i : i + _AT_ONCE]]
+            shown = word.decode()
+            if not word.isalpha():  # of ASCII letters, all of which are small here
+                if not shown.isalpha() or shown != shown.lower() or not is_normalized("NFC", shown):
+                    mixed.append(word)
+                    continue
+                shown = self.shown(shown)[0][0]
+            self[word] = array("I", [token.id for token in tokenize(shown)]).tobytes()
+        for i in range(0, len(mixed), _AT_ONCE):
+            some = [word.decode() for word in mixed[i : i + _AT_ONCE]]
             encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
             ids, starts = np.array(encoded.ids, "<u4"), np.array([a for a, _ in encoded.offsets], np.int64)
-            part = np.searchsorted(np.cumsum([len(x) + 1 for x in some]), starts, "right")
-            cuts = np.searchsorted(part, np.arange(len(some) + 1))
-            for key, a, b in zip(parts[i : i + _AT_ONCE], cuts, cuts[1:], strict=False):
-                self.parts[key] = ids[a:b].tobytes()
-        for word, (head, tail) in split.items():
-            self[word] = self.parts[head] + self.parts[tail]
+            word = np.searchsorted(np.cumsum([len(x) + 1 for x in some]), starts, "right")
+            cuts = np.searchsorted(word, np.arange(len(some) + 1))
+            for key, a, b in zip(mixed[i : i + _AT_ONCE], cuts, cuts[1:], strict=False):
+                self[key] = ids[a:b].tobytes()
 
     def texts(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [text.split() for text in texts]
+        split = [_MARK.sub(rb" \g<0>", text.lower()).split() for text in texts]  # lower case of ASCII letters
         missing = set().union(*split).difference(self)
         if len(self) + len(missing) > CACHED_WORDS:
             self.clear()
