@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardstream.llm import bpe, chat, langid, minhash, packing, pii, quality, rules, substrings, vectors
+from shardstream.llm import bpe, chat, langid, minhash, mixing, packing, pii, quality, rules, substrings, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +77,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("key")
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of sources by weights 1, 2, 3 takes of each document."""
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vectors": op1_vectors,
     "op2_packing": op2_packing,
@@ -88,6 +93,54 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_rules": op9_rules,
     "op10_minhash": op10_minhash,
+    "op13_mixing": op13_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"length(regexp_replace(regexp_replace(coalesce(text, ''), '[^\x20\x09-\x0D]+', 'w', 'g'), '[\x20\x09-\x0D]', '', 'g'))"
+
+_MIXING = f"""
+    WITH RECURSIVE mixed AS (
+        SELECT doc_id, source, {_WORDS} AS size,
+               md5(concat_ws(':', 'mix', coalesce(doc_id::VARCHAR, ''), coalesce(text, ''))) AS digest
+        FROM documents
+    ), sources AS (
+        SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::HUGEINT AS "limit",
+               1 + (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 AS weight
+        FROM mixed GROUP BY source
+    ), levels AS (
+        SELECT 0 AS round, sum(source_size)::HUGEINT AS "left", sum(weight)::HUGEINT AS "by" FROM sources
+        UNION ALL
+        SELECT round + 1,
+               (SELECT sum(source_size) FROM sources) - coalesce(sum("limit") FILTER ("limit" * "by" <= weight * "left"), 0),
+               (SELECT sum(weight) FROM sources) - coalesce(sum(weight) FILTER ("limit" * "by" <= weight * "left"), 0)
+        FROM levels, sources WHERE round < 30 GROUP BY round
+    ), targets AS (
+        SELECT sources.*,
+               if("by" = 0 OR "limit" * "by" <= weight * "left", "limit"::DOUBLE,
+                  (weight * "left")::DOUBLE / "by"::DOUBLE) AS target
+        FROM sources, levels WHERE round = 30
+    ), expected AS (
+        SELECT doc_id, size, source_size, target, digest,
+               if(size > 0, target / source_size, 0) AS copies,
+               floor(copies)::BIGINT AS whole, copies - whole AS chance,
+               (('0x' || substr(digest, 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+        FROM mixed JOIN targets ON mixed.source IS NOT DISTINCT FROM targets.source
+    ), ranked AS (
+        SELECT *, least(floor(u * (1 - chance) / (u * (1 - chance) + chance * (1 - u)) * 4503599627370496::DOUBLE),
+                        4503599627370495::DOUBLE)::BIGINT AS rank
+        FROM expected
+    ), placed AS (
+        SELECT *, floor(target + 0.5)::BIGINT - sum(whole * size) OVER (PARTITION BY source_size, target) AS budget,
+               coalesce(sum(size) FILTER (chance > 0) OVER (
+                   PARTITION BY source_size, target ORDER BY rank, substr(digest, 14, 13)
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM ranked
+    ), more AS (
+        SELECT *, if(chance > 0, greatest(least(budget - before, size), 0), 0)::BIGINT AS more FROM placed
+    )
+    SELECT doc_id, size::BIGINT AS size, source_size, target, (whole * size + more)::BIGINT AS taken,
+           whole + if(more = size AND size > 0, 1, 0) AS copies, if(more = size, 0, more)::BIGINT AS part
+    FROM more
+"""
+
+ORACLES: dict[str, str] = {"op13_mixing": _MIXING}
