@@ -71,9 +71,10 @@ def levels(rows: DataFrame, totals: DataFrame, group: str) -> DataFrame:
 
 
 def is_full() -> Column:
-    """Whether a row reaches its limit; all rows of a group do once ``by`` is zero."""
+    """Whether a row reaches its limit; all rows with a weight do once ``by`` is zero."""
     wide = "decimal(38,0)"
-    return (F.col("by") == 0) | (F.col("limit").cast(wide) * F.col("by") <= F.col("weight").cast(wide) * F.col("left"))
+    reached = F.col("limit").cast(wide) * F.col("by") <= F.col("weight").cast(wide) * F.col("left")
+    return (F.col("weight") > 0) & ((F.col("by") == 0) | reached)
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[int], most_copies: int) -> DataFrame:
@@ -160,7 +161,8 @@ def mix(
     Gives ``doc_id``, ``size`` in words, ``source_size``, the source's ``target``, the words
     ``taken``, and how: ``copies`` whole ones and the first ``part`` words of another.
     ``favour`` names a column of whole numbers: within a source, expected copies are in
-    proportion to it, up to ``most_copies``. Null or below 0 counts as 0.
+    proportion to it, up to ``most_copies``. Null or below 0 counts as 0, and of such
+    documents nothing is taken, also where a source then misses its target.
     """
     digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.coalesce(F.col(text), F.lit(""))))
     bits = lambda first: F.conv(F.substring(digest, first, _RANK_BITS // 4), 16, 10).cast("bigint")
@@ -182,7 +184,8 @@ def mix(
         rows = pin(rows.withColumns({"weight": F.col("favour") * F.col("size"), "limit": F.col("size") * most_copies}), "favoured")
         totals = sources.select("number", F.floor(F.col("target") + 0.5).alias("total"))
         rows = rows.join(levels(rows, totals, "number"), "number")
-        expected = F.when(is_full(), F.lit(float(most_copies))).otherwise(F.col("favour") * F.col("left") / F.col("by"))
+        level = F.col("favour") * F.col("left") / F.col("by")
+        expected = F.when(is_full(), F.lit(float(most_copies))).when(F.col("favour") > 0, level).otherwise(F.lit(0.0))
     rows = rows.withColumn("expected", F.when(F.col("size") > 0, expected).otherwise(F.lit(0.0)))
     rows = rows.withColumn("whole", F.floor("expected")).withColumn("chance", F.col("expected") - F.col("whole"))
     # Random odds over inclusion odds, as the probability that has these odds.
