@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardstream.llm import bpe, chat, langid, minhash, mixing, packing, pii, quality, rules, substrings, vectors
+from shardstream.llm import bpe, chat, collocations, langid, minhash, mixing, packing, pii, quality, rules, substrings, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +77,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("key")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language of all documents."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of sources by weights 1, 2, 3 takes of each document."""
     return mixing.mix(_table(spark, sf_dir, "documents"))
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_rules": op9_rules,
     "op10_minhash": op10_minhash,
+    "op12_collocations": op12_collocations,
     "op13_mixing": op13_mixing,
 }
 
@@ -143,4 +149,50 @@ _MIXING = f"""
     FROM more
 """
 
-ORACLES: dict[str, str] = {"op13_mixing": _MIXING}
+_COLLOCATIONS = """
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[.,;:!?\\x0A-\\x0D]')) AS piece
+        FROM documents
+    ), lines AS (
+        SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces
+    ), counts AS (
+        SELECT lang, words[i : i + k - 1] AS phrase, count(*) AS f
+        FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
+              FROM lines, (SELECT unnest(range(1, 6)) AS k) WHERE len(words) >= k)
+        GROUP BY ALL
+    ), sizes AS (
+        SELECT lang, sum(f) AS n FROM counts WHERE len(phrase) = 1 GROUP BY lang
+    ), candidates AS (
+        SELECT * FROM counts WHERE len(phrase) > 1 AND f >= 100
+    ), inside AS (
+        SELECT lang, f, phrase, unnest(range(2, len(phrase))) AS k FROM candidates
+    ), subsumed AS (
+        SELECT lang, part, max(f) AS most
+        FROM (SELECT lang, f, phrase[i : i + k - 1] AS part
+              FROM (SELECT *, unnest(range(1, len(phrase) - k + 2)) AS i FROM inside))
+        GROUP BY ALL
+    ), kept AS (
+        SELECT c.* FROM candidates c LEFT JOIN subsumed s ON c.lang = s.lang AND c.phrase = s.part
+        WHERE most IS NULL OR 100 * most < 100 * f
+    ), cuts AS (
+        SELECT lang, phrase, f AS a, unnest(range(1, len(phrase))) AS k FROM kept
+    ), scored AS (
+        SELECT c.lang, c.phrase, k, a, x.f AS l, y.f AS r, n::BIGINT AS n,
+               ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+        FROM cuts c JOIN sizes USING (lang)
+        JOIN counts x ON x.lang = c.lang AND x.phrase = c.phrase[:k]
+        JOIN counts y ON y.lang = c.lang AND y.phrase = c.phrase[k + 1:]
+    ), lowest AS (
+        SELECT * FROM scored
+        QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    )
+    SELECT lang, row_number() OVER (
+               PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(phrase, ' ')) AS rank,
+           array_to_string(phrase, ' ') AS phrase, a, l, r, n, score
+    FROM lowest QUALIFY rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op12_collocations": _COLLOCATIONS, "op13_mixing": _MIXING}
