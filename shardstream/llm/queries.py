@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardstream.llm import bpe, chat, collocations, langid, minhash, mixing, packing, pii, quality, rules, substrings, vectors
+from shardstream.llm import bpe, chat, collocations, langid, minhash, mixing, packing, pii, quality, repair, rules, substrings, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +78,14 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("key")
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports on all conversations, damaged and repaired, with a digest of what they became."""
+    turns, reports = repair.repair(repair.damage(_table(spark, sf_dir, "conversations")))
+    lines = repair.digests(turns).select(F.col("conv_id").alias("of"), F.col("sha256").alias("repaired_sha256"))
+    joined = reports.join(lines, reports["conv_id"].eqNullSafe(lines["of"]), "left").drop("of")
+    return joined.fillna(hashlib.sha256().hexdigest(), "repaired_sha256")
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 phrases of each language of all documents."""
     return collocations.collocations(_table(spark, sf_dir, "documents"))
@@ -98,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_rules": op9_rules,
     "op10_minhash": op10_minhash,
+    "op11_repair": op11_repair,
     "op12_collocations": op12_collocations,
     "op13_mixing": op13_mixing,
 }
