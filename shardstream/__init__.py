@@ -1,6 +1,6 @@
 """Sharded record streams on Spark: consume, query and append."""
 
-from shardstream.model import LATEST, POSITIONS, RECORD, TRIM_HORIZON, Handler
+from shardstream.model import INDEX, LATEST, POSITIONS, RECORD, TRIM_HORIZON, Handler
 from shardstream.operators import (
     advance,
     batch_stats,
@@ -17,7 +17,7 @@ from shardstream.operators import (
     shard_positions,
     union_streams,
 )
-from shardstream.sources import read_csv_with_header, read_log, record_stream
+from shardstream.sources import adopt_batches, read_csv_with_header, read_index, read_log, record_stream
 from shardstream.streaming import (
     compose,
     consume,
@@ -29,11 +29,13 @@ from shardstream.streaming import (
 )
 
 __all__ = [
+    "INDEX",
     "LATEST",
     "POSITIONS",
     "RECORD",
     "TRIM_HORIZON",
     "Handler",
+    "adopt_batches",
     "advance",
     "batch_stats",
     "compose",
@@ -50,6 +52,7 @@ __all__ = [
     "put_records",
     "put_sink",
     "read_csv_with_header",
+    "read_index",
     "read_log",
     "read_records",
     "record_stream",

@@ -29,6 +29,21 @@ POSITIONS = T.StructType(
     ]
 )
 
+#: What a commit says of a shard of its batch. Numbers within it have no gaps.
+INDEX = T.StructType(
+    [
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("shard_id", T.IntegerType()),
+        T.StructField("records", T.LongType()),
+        T.StructField("first_sequence", T.LongType()),
+        T.StructField("last_sequence", T.LongType()),
+        T.StructField("first_arrival", T.TimestampNTZType()),
+        T.StructField("last_arrival", T.TimestampNTZType()),
+        T.StructField("bytes", T.LongType()),
+    ]
+)
+
 #: A shard is named by its stream and its id within the stream.
 SHARD = ["stream", "shard_id"]
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shardstream import shared
 from shardstream.functions import required, shard_of
 from shardstream.model import RECORD, SHARD
+from shardstream.sources import commits
 
 #: Sequence numbers set aside for one batch in every shard.
 BATCH_SPAN = 1 << 32
@@ -141,22 +142,26 @@ def put_records(
     """Land one batch of routed records in a log, once.
 
     The batch takes the sequence numbers from ``batch_id * 2**32`` on. It is
-    written out of sight of readers and then moved to ``batch_id=N``, so they see
-    all of it or nothing. Putting a batch that is there already changes nothing
-    and returns ``False``, which makes a replayed micro-batch harmless; one whose move was
-    broken off is completed first. A log has one writer, with rising batch ids.
+    written out of sight of readers, described in a list of its files, moved to
+    ``batch_id=N`` and committed, which readers go by: they see all of it or nothing,
+    also where a move copies. Putting a batch that is committed changes nothing and
+    returns ``False``, which makes a replayed micro-batch harmless; one that was broken
+    off after its list was written is completed from it, file by file, by the next put of
+    that batch or of a later one. A log has one writer, with rising batch ids. What was put is in ``read_index``.
     """
     spark = routed.sparkSession
+    log_dir = log_dir.rstrip("/")
     landed = f"{log_dir}/batch_id={batch_id}"
     landing = f"{log_dir}/_landing/batch_id={batch_id}"
-    if shared.is_complete(spark, landed):
-        if not shared.exists(spark, landing):
-            return False
-        # A move that copies has no order: the marker may have come before the data.
-        if not shared.is_complete(spark, landing):
-            shared.finish_move(spark, landing, landed)
-            return True
-    if not shared.is_complete(spark, landing):
+    listed = f"{log_dir}/_landing/{batch_id}.json"
+    if commits.is_committed(spark, log_dir, batch_id):
+        return False
+    for earlier in shared.numbers(spark, f"{log_dir}/_landing", "", ".json"):
+        if earlier < batch_id:  # readers that saw this batch first would pass that one
+            _complete(spark, log_dir, earlier)
+    if not shared.exists(spark, listed):
+        if shared.exists(spark, landed):
+            raise OSError(f"{landed} was not put here; adopt_batches commits what other writers made")
         staging = shared.scratch_path(spark, "numbering")
         named = routed.withColumn(
             "stream", required(F.nullif("stream", F.lit("")), "a record needs a stream")
@@ -176,5 +181,31 @@ def put_records(
             shared.remove(spark, staging)
         if not shared.is_complete(spark, landing):
             raise OSError(f"no _SUCCESS file in {landing}; a put needs them switched on")
-    shared.move(spark, landing, landed)
+        written = spark.read.schema(commits.LAYOUT).parquet(landing).withColumn("batch_id", F.lit(batch_id))
+        root = f"_landing/batch_id={batch_id}"
+        lines = commits.describe(spark, root, written).get(batch_id, [])
+        shared.write_once(spark, listed, commits.to_text(lines))
+    _complete(spark, log_dir, batch_id)
     return True
+
+
+def _complete(spark, log_dir: str, batch_id: int) -> None:
+    landing, listed = f"{log_dir}/_landing/batch_id={batch_id}", f"{log_dir}/_landing/{batch_id}.json"
+    _place(spark, commits.files_of(shared.read_text(spark, listed)), landing, f"{log_dir}/batch_id={batch_id}")
+    shared.rename(spark, listed, commits.commit_path(log_dir, batch_id))
+    shared.remove(spark, landing)
+
+
+def _place(spark, files: list[tuple[str, int]], landing: str, landed: str) -> None:
+    """Move the files of a batch into their place; some may have been moved before."""
+    if files and not shared.exists(spark, landed):
+        shared.rename(spark, landing, landed)
+        return
+    for path, size in files:
+        source, target = f"{landing}/{path}", f"{landed}/{path}"
+        there = shared.length(spark, target)
+        if there == size:
+            continue
+        if there is not None:
+            shared.remove(spark, target)  # a copy that was broken off; its source is still there
+        shared.rename(spark, source, target)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -68,38 +69,44 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a complete directory to ``target``, replacing a half-made one.
+def length(spark: SparkSession, path: str) -> int | None:
+    """The bytes of a file, ``None`` where there is none."""
+    fs, target = _locate(spark, path)
+    return fs.getFileStatus(target).getLen() if fs.exists(target) else None
 
-    One atomic step where the file system renames atomically. Where a rename
-    copies, a repeat brings in files of the same names, which a stream that saw
-    some of them does not read again.
-    """
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or directory to a path that must not exist yet; its parents are made."""
     fs, source_path = _locate(spark, source)
     _, target_path = _locate(spark, target)
-    fs.delete(target_path, True)
-    if not fs.rename(source_path, target_path):
+    fs.mkdirs(target_path.getParent())
+    if fs.exists(target_path) or not fs.rename(source_path, target_path):
         raise OSError(f"cannot move {source} to {target}")
 
 
-def finish_move(spark: SparkSession, source: str, target: str) -> None:
-    """Move the files that a broken-off move has left in ``source``, under their names."""
-    fs, source_path = _locate(spark, source)
-    _, target_path = _locate(spark, target)
-    root = fs.getFileStatus(source_path).getPath().toUri().getPath()
-    files = fs.listFiles(source_path, True)
-    while files.hasNext():
-        left = files.next().getPath()
-        place = f"{target.rstrip('/')}/{left.toUri().getPath()[len(root) :].lstrip('/')}"
-        _, place = _locate(spark, place)
-        if not fs.exists(place):
-            fs.mkdirs(place.getParent())
-            if not fs.rename(left, place):
-                raise OSError(f"cannot move {left} to {target_path}")
-    fs.delete(source_path, True)
-
-
-def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
-    """The values of a directory partition column, from directory names alone."""
-    fs, pattern = _locate(spark, f"{path}/{column}=*")
-    return [status.getPath().getName().split("=", 1)[1] for status in fs.globStatus(pattern) or []]
+def write_once(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is there whole or not at all, and is never written again."""
+    fs, draft = _locate(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    out = fs.create(draft)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename(spark, draft.toString(), path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _locate(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def numbers(spark: SparkSession, folder: str, before: str, behind: str = "") -> list[int]:
+    """The numbers in the names ``{before}{number}{behind}`` in a folder, in order."""
+    fs, pattern = _locate(spark, f"{folder}/{before}*{behind}")
+    jvm = spark.sparkContext._jvm
+    paths = jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.globStatus(pattern))
+    # All names in one call: a log has many.
+    names = jvm.org.apache.commons.lang3.ArrayUtils.toString(paths) if paths is not None else ""
+    return sorted(map(int, re.findall(rf"/{re.escape(before)}(\d+){re.escape(behind)}(?=[,}}])", names)))

@@ -9,23 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shardstream import shared
 from shardstream.model import LATEST, RECORD, TRIM_HORIZON, check_position
+from shardstream.sources.commits import LAYOUT, committed, visible
 
-_PARTITION_COLUMNS = [
-    T.StructField("batch_id", T.LongType()),
-    RECORD["stream"],
-    RECORD["shard_id"],
-]
-
-# Spark puts partition columns last, in directory order. Naming them in that
-# order keeps the schema the same for a log that starts empty.
-_LAYOUT = T.StructType(
-    [field for field in RECORD if field.name not in ("stream", "shard_id")] + _PARTITION_COLUMNS
-)
-
+#: The column that says which batch of which log a streamed record comes from.
+BATCH_OF = "_batch"
 
 #: Longer than any log is kept.
 _ANY_AGE = "36500d"
@@ -36,11 +26,12 @@ def _of_stream(layout: DataFrame, stream: str | None) -> DataFrame:
 
 
 def read_log(spark: SparkSession, log_dir: str, stream: str | None = None) -> DataFrame:
-    """The records landed so far, of one stream or of all, and the ``batch_id`` of each.
+    """The records committed so far, of one stream or of all, and the ``batch_id`` of each.
 
-    The batch is a directory like stream and shard: pages prune by it.
+    The batch is a directory like stream and shard: pages prune by it. Of a batch without a
+    commit, half in its place or not, nothing is read.
     """
-    layout = spark.read.schema(_LAYOUT).parquet(log_dir)
+    layout = spark.read.schema(LAYOUT).parquet(log_dir).where(visible(spark, log_dir))
     return _of_stream(layout, stream).select(*RECORD.fieldNames(), "batch_id")
 
 
@@ -53,7 +44,7 @@ def require_records(spark: SparkSession, log_dir: str, stream: str | None = None
 def frozen_start(spark: SparkSession, log_dir: str, start: str) -> int:
     """The newest batch landed when the query first started, written down once."""
     if not shared.is_complete(spark, start):
-        landed = [int(value) for value in shared.partition_values(spark, log_dir, "batch_id")]
+        landed = committed(spark, log_dir)
         newest = spark.createDataFrame([(max(landed, default=-1),)], "after_batch bigint")
         newest.write.mode("overwrite").parquet(start)
     return spark.read.parquet(start).first()["after_batch"]
@@ -83,6 +74,9 @@ def record_stream(
     Files count whatever their age, so the driver remembers the path of every file of the
     log; ``options={"maxFileAge": "30d"}`` bounds that where no older file can appear.
 
+    The column ``_batch`` names each record's log and batch. ``dispatch`` takes it off, and
+    holds a micro-batch back until all its batches have a commit.
+
     ``max_files`` or ``max_bytes`` bounds a micro-batch; ``options`` go to Spark's
     file source as they are. With ``require_data=False`` an empty log is allowed
     and made where missing.
@@ -101,7 +95,7 @@ def record_stream(
 
     # The file source skips files much older than the newest one it has seen; a copied or
     # restored log has such files.
-    reader = spark.readStream.schema(_LAYOUT).option("maxFileAge", _ANY_AGE).options(**(options or {}))
+    reader = spark.readStream.schema(LAYOUT).option("maxFileAge", _ANY_AGE).options(**(options or {}))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
@@ -109,4 +103,4 @@ def record_stream(
     layout = _of_stream(reader.parquet(log_dir), stream)
     if after_batch is not None:
         layout = layout.where(F.col("batch_id") > after_batch)
-    return layout.select(RECORD.fieldNames())
+    return layout.select(*RECORD.fieldNames(), F.struct(F.lit(log_dir).alias("log"), "batch_id").alias(BATCH_OF))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -11,10 +12,14 @@ from shardstream import shared
 from shardstream.model import LATEST, TRIM_HORIZON, Handler
 from shardstream.operators import decode_records
 from shardstream.sources import record_stream
-from shardstream.sources.record_log import frozen_start
+from shardstream.sources.commits import is_committed
+from shardstream.sources.record_log import BATCH_OF, frozen_start
 
 logger = logging.getLogger(__name__)
 
+#: Seconds a micro-batch waits for the commit of a batch whose files it has met.
+COMMIT_WAIT = 600
+
 #: Options of the file source that bound a micro-batch, in lower case.
 _BOUNDS = {"maxfilespertrigger", "maxbytespertrigger"}
 
@@ -42,6 +47,10 @@ def dispatch(
     handler is called at least once per batch and must key what it writes by
     ``batch_id``, as the sinks here do.
 
+    Records of a log's batch reach no handler before its commit. A micro-batch that met
+    files of a batch still being moved waits for it up to ``COMMIT_WAIT`` seconds and then
+    stops the query; the next start goes on with it.
+
     ``parallelism`` shuffles each batch into that many partitions before it is
     decoded. By default the file splits decide and nothing is shuffled.
     ``available_now`` works off what is there and ends; otherwise a batch starts
@@ -49,13 +58,15 @@ def dispatch(
     """
 
     def view(batch: DataFrame) -> DataFrame:
-        return batch if decode_errors is None else decode_records(batch, decode_errors)
+        records = batch.drop(BATCH_OF)
+        return records if decode_errors is None else decode_records(records, decode_errors)
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        # Asked of the batch as read: behind a shuffle the first row would cost all.
+        is_empty = _await_commits(batch) if BATCH_OF in batch.columns else batch.isEmpty()
         if every_batch is not None:
             every_batch(view(batch), batch_id)
-        # Asked of the batch as read: behind a shuffle the first row would cost all.
-        if batch.isEmpty():
+        if is_empty:
             logger.info("batch %d is empty, handler skipped", batch_id)
             return
         handler(view(batch if parallelism is None else batch.repartition(parallelism)), batch_id)
@@ -71,6 +82,21 @@ def dispatch(
     return writer.start()
 
 
+def _await_commits(batch: DataFrame) -> bool:
+    """Wait until all batches a micro-batch has records of are committed; whether it has none.
+
+    The batches are directory names, so finding them opens no column.
+    """
+    spark = batch.sparkSession
+    waiting = [row[0] for row in batch.select(BATCH_OF).distinct().collect()]
+    is_empty, deadline = not waiting, time.monotonic() + COMMIT_WAIT
+    while waiting := [b for b in waiting if not is_committed(spark, b["log"], b["batch_id"])]:
+        if time.monotonic() > deadline:
+            raise TimeoutError(f"no commit yet of {waiting}")
+        time.sleep(0.2)
+    return is_empty
+
+
 def consume(
     spark: SparkSession,
     log_dir: str,
@@ -112,7 +138,7 @@ def consume(
             options=options,
             **bounds,
         )
-        return found if columns is None else found.select(columns)
+        return found if columns is None else found.select(*columns, BATCH_OF)
 
     start, options = f"{checkpoint}/start", source_options or {}
     bounded = records(options, max_files=max_files, max_bytes=max_bytes)

@@ -6,13 +6,29 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
-from helpers import landed, numbered, plan_of, shard, unrouted
+from helpers import EPOCH, landed, numbered, plan_of, records, shard, unrouted
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shardstream import number_records, put_records, read_log, route_records
+from pyspark.sql import functions as F
+
+from shardstream import (
+    INDEX,
+    adopt_batches,
+    advance,
+    number_records,
+    put_records,
+    read_index,
+    read_log,
+    read_records,
+    route_records,
+    shard_inventory,
+    shard_positions,
+    shared,
+)
 from shardstream.operators.puts import BATCH_SPAN
 from shardstream.shared import scratch_path
+from shardstream.sources import commits
 
 ROWS = [("s", f"k{n % 7}", n // 3, b"%d" % n) for n in range(60)]
 
@@ -85,29 +101,93 @@ def test_a_put_needs_success_files(spark, folder):
     assert not os.path.exists(f"{folder}/batch_id=0")
 
 
-def test_a_put_that_died_while_moving_keeps_its_files(spark, folder):
-    """Only a file system without atomic renames leaves such a state."""
-    _put(spark, ROWS, folder)
-    files = _files(folder)
-    os.makedirs(f"{folder}/_landing", exist_ok=True)
-    os.rename(f"{folder}/batch_id=0", f"{folder}/_landing/batch_id=0")
-    os.makedirs(f"{folder}/batch_id=0/stream=s")
-    assert _put(spark, ROWS[:1], folder)
-    assert _files(folder) == files
-    assert landed(read_log(spark, folder)) == numbered(ROWS, 4)
+class Broken(Exception):
+    pass
 
 
-def test_a_marker_that_moved_before_the_data_loses_nothing(spark, folder):
-    _put(spark, ROWS, folder)
-    files = _files(folder)
-    os.makedirs(f"{folder}/_landing", exist_ok=True)
-    os.rename(f"{folder}/batch_id=0", f"{folder}/_landing/batch_id=0")
-    os.makedirs(f"{folder}/batch_id=0")
-    os.rename(f"{folder}/_landing/batch_id=0/_SUCCESS", f"{folder}/batch_id=0/_SUCCESS")
+def _put_and_die(spark, monkeypatch, rows, folder, batch_id, moves):
+    """A put that dies after so many renames, where directories move file by file."""
+    left, rename = [moves], shared.rename
+
+    def dying(spark, source, target):
+        if "batch_id=" in target or "_commits" in target:
+            if os.path.isdir(source):
+                os.makedirs(target)
+                for path, _, names in os.walk(source):
+                    for name in sorted(names):
+                        inner = os.path.relpath(os.path.join(path, name), source)
+                        dying(spark, f"{source}/{inner}", f"{target}/{inner}")
+                return
+            if not left[0]:
+                raise Broken
+            left[0] -= 1
+        rename(spark, source, target)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(shared, "rename", dying)
+        with pytest.raises(Broken):
+            _put(spark, rows, folder, batch_id)
+
+
+@pytest.mark.parametrize("moves", range(5))
+def test_a_batch_is_seen_whole_or_not_at_all(spark, folder, monkeypatch, moves):
+    """Every state in which a put can break off: readers of pages and streams lose nothing."""
+    _put(spark, ROWS, folder, 0)
+    first = numbered(ROWS, 4)
+    start = shard_positions(read_log(spark, folder))
+    _put_and_die(spark, monkeypatch, ROWS, folder, 1, moves)
+    log = read_log(spark, folder)
+    assert landed(log) == first
+    assert read_index(spark, folder).agg({"records": "sum"}).first()[0] == len(first)
+    page = read_records(log, start, 10_000)
+    assert landed(page) == first
+    after = advance(start, page)
+    # The put is done again, or a later one finds it.
+    assert _put(spark, ROWS, folder, 1 + moves % 2)
+    second = [row for batch_id in range(1, 2 + moves % 2) for row in numbered(ROWS, 4, batch_id * BATCH_SPAN)]
+    assert landed(read_log(spark, folder)) == sorted(first + second)
+    assert landed(read_records(read_log(spark, folder), after, 10_000)) == sorted(second)
+    assert not _put(spark, ROWS, folder, 1)
+    assert not os.path.exists(f"{folder}/_landing/batch_id=1")
+
+
+def test_a_copy_that_broke_off_is_made_again(spark, folder, monkeypatch):
+    _put_and_die(spark, monkeypatch, ROWS, folder, 0, 0)
+    (source, *_) = sorted(Path(f"{folder}/_landing/batch_id=0").rglob("*.parquet"))
+    half = Path(str(source).replace("_landing/", ""))
+    half.parent.mkdir(parents=True)
+    half.write_bytes(source.read_bytes()[:10])
+    assert landed(read_log(spark, folder)) == []
     assert _put(spark, ROWS, folder)
-    assert _files(folder) == files
     assert landed(read_log(spark, folder)) == numbered(ROWS, 4)
-    assert not _put(spark, ROWS, folder)
+
+
+def test_the_commit_lists_what_was_put(spark, folder):
+    _put(spark, ROWS, folder, 3)
+    index = read_index(spark, folder)
+    assert index.schema == INDEX
+    log = read_log(spark, folder)
+    want = shard_inventory(log).collect()
+    assert Counter(index.drop("batch_id", "bytes").collect()) == Counter(want)
+    files = [path for path in _files(folder) if path.endswith(".parquet")]
+    assert sorted(f"batch_id=3/{path}" for path, _ in commits.files_of(Path(f"{folder}/_commits/3.json").read_text())) == files
+    assert sum(os.path.getsize(f"{folder}/{path}") for path in files) == index.agg({"bytes": "sum"}).first()[0]
+
+
+def test_batches_of_other_writers_are_adopted(spark, folder):
+    _put(spark, ROWS, folder, 0)
+    other = f"{folder}/other"
+    names = ["2024", "a/b", "a=b c%20", "é_ü"]
+    rows = [(name, n, n * BATCH_SPAN, "k", EPOCH, b"x") for n, name in enumerate(names)]
+    table = records(spark, rows).withColumn("batch_id", F.shiftright("sequence_number", 32))
+    table.write.partitionBy("batch_id", "stream", "shard_id").parquet(other)
+    assert landed(read_log(spark, other)) == []
+    with pytest.raises(OSError, match="adopt_batches"):
+        _put(spark, ROWS, other, 2)
+    assert adopt_batches(spark, other) == [0, 1, 2, 3]
+    assert landed(read_log(spark, other)) == sorted((*row[:4], row[5]) for row in rows)
+    assert sorted(r.stream for r in read_index(spark, other, from_batch=1, to_batch=2).collect()) == sorted(names[1:3])
+    assert adopt_batches(spark, other) == [] and not _put(spark, ROWS, other, 1)
 
 
 def test_ties_in_the_callers_order_number_alike_on_both_ways(spark):
