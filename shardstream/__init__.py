@@ -11,6 +11,7 @@ from shardstream.operators import (
     positions_with_new_shards,
     preview,
     put_records,
+    read_page,
     read_records,
     route_records,
     shard_inventory,
@@ -19,12 +20,14 @@ from shardstream.operators import (
 )
 from shardstream.sources import adopt_batches, read_csv_with_header, read_index, read_log, record_stream
 from shardstream.streaming import (
+    await_consumers,
     compose,
     consume,
     dispatch,
     log_stats,
     print_preview,
     put_sink,
+    stop_between_batches,
     text_sink,
 )
 
@@ -37,6 +40,7 @@ __all__ = [
     "Handler",
     "adopt_batches",
     "advance",
+    "await_consumers",
     "batch_stats",
     "compose",
     "consume",
@@ -54,11 +58,13 @@ __all__ = [
     "read_csv_with_header",
     "read_index",
     "read_log",
+    "read_page",
     "read_records",
     "record_stream",
     "route_records",
     "shard_inventory",
     "shard_positions",
+    "stop_between_batches",
     "text_sink",
     "union_streams",
 ]

@@ -10,7 +10,16 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from shardstream import LATEST, TRIM_HORIZON, compose, consume, log_stats, print_preview, text_sink
+from shardstream import (
+    LATEST,
+    TRIM_HORIZON,
+    await_consumers,
+    compose,
+    consume,
+    log_stats,
+    print_preview,
+    text_sink,
+)
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -25,6 +34,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--take", type=int, default=10, help="records to print and to log")
     parser.add_argument("--files", type=int, help="most text files per batch")
     parser.add_argument("--parallelism", type=int, help="partitions to spread a batch over")
+    parser.add_argument("--stop-marker", help="end between two batches when this file appears")
     parser.add_argument("--max-bytes", type=int, help="most input bytes per batch")
     return parser.parse_args(arguments)
 
@@ -51,7 +61,7 @@ def main(arguments: list[str] | None = None) -> None:
         parallelism=options.parallelism,
         every_batch=print_preview(options.take, header=True),
     )
-    query.awaitTermination()
+    await_consumers([query], options.stop_marker)
 
 
 if __name__ == "__main__":

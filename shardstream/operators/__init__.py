@@ -4,6 +4,7 @@ from shardstream.operators.positions import (
     advance,
     list_streams,
     positions_with_new_shards,
+    read_page,
     read_records,
     shard_inventory,
     shard_positions,
@@ -27,6 +28,7 @@ __all__ = [
     "positions_with_new_shards",
     "preview",
     "put_records",
+    "read_page",
     "read_records",
     "route_records",
     "shard_inventory",

@@ -1,15 +1,30 @@
-"""Streams, shards and read positions of a record log, and reads from a position."""
+"""Streams, shards and read positions of a record log, and reads from a position.
+
+What asks for streams, shards or positions takes a log's records or its index
+(``read_index``), which has the same answers in a row per shard and batch.
+"""
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardstream.model import RECORD, SHARD, TRIM_HORIZON, check_position
 from shardstream.operators.puts import BATCH_SPAN
 from shardstream.shared import pin
+from shardstream.sources import read_index, read_log
+
+
+def _is_index(log: DataFrame) -> bool:
+    return "last_sequence" in log.columns
+
+
+def _ends(log: DataFrame) -> tuple[Column, Column]:
+    """The columns of the lowest and of the highest number of a row."""
+    names = ("first_sequence", "last_sequence") if _is_index(log) else ("sequence_number",) * 2
+    return F.col(names[0]), F.col(names[1])
 
 
 def list_streams(log: DataFrame) -> DataFrame:
@@ -19,15 +34,17 @@ def list_streams(log: DataFrame) -> DataFrame:
 
 def shard_inventory(log: DataFrame, stream: str | None = None) -> DataFrame:
     """Every shard, with its record count and its first and last record."""
+    first, last = _ends(log)
+    arrivals = ("first_arrival", "last_arrival") if _is_index(log) else ("arrival_ts",) * 2
     return (
         _of_stream(log, stream)
         .groupBy(*SHARD)
         .agg(
-            F.count("*").alias("records"),
-            F.min("sequence_number").alias("first_sequence"),
-            F.max("sequence_number").alias("last_sequence"),
-            F.min("arrival_ts").alias("first_arrival"),
-            F.max("arrival_ts").alias("last_arrival"),
+            (F.sum("records") if _is_index(log) else F.count("*")).alias("records"),
+            F.min(first).alias("first_sequence"),
+            F.max(last).alias("last_sequence"),
+            F.min(arrivals[0]).alias("first_arrival"),
+            F.max(arrivals[1]).alias("last_arrival"),
         )
     )
 
@@ -42,9 +59,8 @@ def shard_positions(
     check_position(position)
     if shard_id is not None:
         log = log.where(F.col("shard_id") == shard_id)
-    sequence = (
-        F.min("sequence_number") if position == TRIM_HORIZON else F.max("sequence_number") + 1
-    )
+    first, last = _ends(log)
+    sequence = F.min(first) if position == TRIM_HORIZON else F.max(last) + 1
     return _of_stream(log, stream).groupBy(*SHARD).agg(sequence.alias("next_sequence"))
 
 
@@ -54,6 +70,41 @@ def positions_with_new_shards(log: DataFrame, positions: DataFrame) -> DataFrame
     return positions.select(*SHARD, "next_sequence").unionByName(new)
 
 
+def read_page(
+    spark: SparkSession, log_dir: str, positions: DataFrame, limit_per_shard: int, stream: str | None = None
+) -> DataFrame:
+    """The next ``limit_per_shard`` records of each shard of a landed log, by its index.
+
+    The index says how many records each batch has of a shard, and their numbers have no
+    gaps within it. So where a page ends is a sum over the index from the lowest position's
+    batch on, whether the page crosses batches or the shard is caught up. No key is looked
+    at; the records are read from the page's batches alone.
+    """
+    if limit_per_shard < 0:
+        raise ValueError(f"limit_per_shard must not be negative, but is {limit_per_shard}")
+    lowest = positions.agg(F.min("next_sequence")).first()[0]
+    from_batch = max(lowest or 0, 0) // BATCH_SPAN
+    return _page_of(read_log(spark, log_dir, stream), read_index(spark, log_dir, stream, from_batch=from_batch), positions, limit_per_shard)
+
+
+def _page_of(log: DataFrame, index: DataFrame, positions: DataFrame, limit: int) -> DataFrame:
+    in_order = Window.partitionBy(*SHARD).orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1)
+    unread = index.join(positions, SHARD).where("last_sequence >= next_sequence")
+    begin = F.greatest("first_sequence", "next_sequence")
+    parts = (
+        unread.select("batch_id", *SHARD, begin.alias("first_sequence"), (F.col("last_sequence") - begin + 1).alias("records"))
+        .withColumn("before", F.coalesce(F.sum("records").over(in_order), F.lit(0)))
+        .where(F.col("before") < limit)
+        .select(
+            "batch_id",
+            *SHARD,
+            "first_sequence",
+            (F.col("first_sequence") + F.least("records", limit - F.col("before")) - 1).alias("last_sequence"),
+        )
+    )
+    return _within(log, _settle(parts, "page"), ["batch_id", *SHARD]).select(RECORD.fieldNames())
+
+
 def read_records(log: DataFrame, positions: DataFrame, limit_per_shard: int) -> DataFrame:
     """The next ``limit_per_shard`` records of each shard, from its position on.
 
@@ -63,7 +114,8 @@ def read_records(log: DataFrame, positions: DataFrame, limit_per_shard: int) ->
     it is full. For the rest, one scan counts the unread records by their distance
     from the position, and a second one ranks those near enough to matter. None of
     it sorts or shuffles the backlog. The payloads are then read by a scan and a
-    join with one row per shard.
+    join with one row per shard. A landed log is better read by ``read_page``, which
+    needs none of these scans.
     """
     if limit_per_shard < 0:
         raise ValueError(f"limit_per_shard must not be negative, but is {limit_per_shard}")
@@ -118,7 +170,7 @@ def _settle(ranges: DataFrame, purpose: str) -> _Ranges:
     return _Ranges(table, overall.get["low"], overall.get["high"])
 
 
-def _within(log: DataFrame, ranges: _Ranges) -> DataFrame:
+def _within(log: DataFrame, ranges: _Ranges, keys: list[str] = SHARD) -> DataFrame:
     """The records inside the range of their shard.
 
     The overall range goes into the scan as a filter, and as a range of batches where
@@ -131,7 +183,7 @@ def _within(log: DataFrame, ranges: _Ranges) -> DataFrame:
         log = log.where(F.col("batch_id").between(*batches))
     return (
         log.where(F.col("sequence_number").between(ranges.low, ranges.high))
-        .join(ranges.table.where("first_sequence <= last_sequence"), SHARD)
+        .join(ranges.table.where("first_sequence <= last_sequence"), keys)
         .where("sequence_number between first_sequence and last_sequence")
     )
 

@@ -51,6 +51,20 @@ _ACROSS = f"""
     )
 """
 
+_BY_THE_DAY = f"""
+    {_WITH_RECORDS}, days AS (
+        SELECT *, date_diff('day', DATE '2024-01-01', arrival_ts::DATE) AS batch_id FROM records
+    ), landed AS (
+        SELECT stream, shard_id, batch_id,
+               batch_id * 4294967296
+                   + row_number() OVER (
+                       PARTITION BY stream, shard_id, batch_id ORDER BY sequence_number
+                   ) - 1 AS sequence_number,
+               partition_key, arrival_ts, value
+        FROM days
+    )
+"""
+
 _PAGE = "stream, shard_id, sequence_number, partition_key, arrival_ts, value"
 
 ORACLES: dict[str, str] = {
@@ -173,6 +187,42 @@ ORACLES: dict[str, str] = {
         SELECT stream, shard_id, max(sequence_number) + 1 AS next_sequence
         FROM paged WHERE place <= 10 GROUP BY stream, shard_id
     """,
+    "log_page_by_index": f"""
+        {_BY_THE_DAY}, starts AS (
+            SELECT stream, shard_id, max(sequence_number) + 1 AS start
+            FROM landed WHERE batch_id <= 15 GROUP BY stream, shard_id
+        ), paged AS (
+            SELECT landed.*, {_NUMBERED} AS place
+            FROM landed JOIN starts USING (stream, shard_id) WHERE sequence_number >= start
+        )
+        SELECT {_PAGE} FROM paged WHERE place <= 10
+    """,
+    "log_positions_after_pages": f"""
+        {_IN_BATCHES}, paged AS (SELECT *, {_NUMBERED} AS place FROM landed)
+        SELECT stream, shard_id, max(sequence_number) + 1 AS next_sequence
+        FROM paged WHERE place <= 1000 GROUP BY stream, shard_id
+    """,
+    "log_streams": "SELECT DISTINCT event_type AS stream FROM events ORDER BY 1",
+    "log_inventory": f"""
+        {_IN_BATCHES}
+        SELECT stream, shard_id, count(*) AS records,
+               min(sequence_number) AS first_sequence, max(sequence_number) AS last_sequence,
+               min(arrival_ts) AS first_arrival, max(arrival_ts) AS last_arrival
+        FROM landed GROUP BY stream, shard_id
+    """,
+    "log_positions_oldest": f"""
+        {_IN_BATCHES}
+        SELECT stream, shard_id, min(sequence_number) AS next_sequence
+        FROM landed GROUP BY stream, shard_id
+    """,
+    "log_positions_latest": f"""
+        {_IN_BATCHES}
+        SELECT stream, shard_id, max(sequence_number) + 1 AS next_sequence
+        FROM landed GROUP BY stream, shard_id
+    """,
+    "log_after_broken_move": f"""
+        {_IN_BATCHES} SELECT {_PAGE}, batch_id < 2 AS seen FROM landed
+    """,
     "csv_header_scan": """
         SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey,
                o_orderstatus, o_totalprice::VARCHAR AS o_totalprice,

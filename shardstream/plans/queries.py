@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardstream import (
     LATEST,
+    adopt_batches,
     advance,
     batch_stats,
     compose,
@@ -24,14 +25,19 @@ from shardstream import (
     put_records,
     put_sink,
     read_csv_with_header,
+    read_index,
     read_log,
+    read_page,
     read_records,
     record_stream,
     shard_inventory,
     shard_positions,
+    shared,
     text_sink,
     union_streams,
 )
+from shardstream.model import SHARD
+from shardstream.operators.puts import BATCH_SPAN
 from shardstream.plans.views import (
     SHARDS,
     conversation_records,
@@ -41,6 +47,7 @@ from shardstream.plans.views import (
     table,
 )
 from shardstream.shared import scratch_path
+from shardstream.sources.commits import commit_path, files_of
 
 PAGE = 10
 
@@ -121,12 +128,74 @@ def stream_put(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed_in_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``events`` as a log of three batches, by the day of the month."""
+    return read_log(spark, _land_in_batches(spark, sf_dir))
+
+
+def _land_in_batches(spark: SparkSession, sf_dir: str) -> str:
     log_dir = scratch_path(spark, "log")
     third = F.least(F.floor((F.dayofmonth("arrival_ts") - 1) / 10), F.lit(2))
     for batch_id in range(3):
         records = event_records(spark, sf_dir).where(third == batch_id)
         put_records(records, log_dir, batch_id, ["sequence_number"])
-    return read_log(spark, log_dir)
+    return log_dir
+
+
+def _land_by_the_day(spark: SparkSession, sf_dir: str) -> str:
+    """All ``events`` as a log of a batch a day, written by one job and adopted."""
+    log_dir = scratch_path(spark, "log")
+    day = F.datediff(F.col("arrival_ts").cast("date"), F.lit("2024-01-01")).cast("bigint")
+    in_day = Window.partitionBy("batch_id", *SHARD).orderBy("sequence_number")
+    records = event_records(spark, sf_dir).withColumn("batch_id", day)
+    number = F.col("batch_id") * BATCH_SPAN + F.row_number().over(in_day) - 1
+    records = records.withColumn("sequence_number", number).repartition("batch_id")
+    records.write.partitionBy("batch_id", *SHARD).parquet(log_dir)
+    adopt_batches(spark, log_dir)
+    return log_dir
+
+
+def log_page_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page across some of the batches of a log, from a day in its middle on."""
+    log_dir = _land_by_the_day(spark, sf_dir)
+    start = shard_positions(read_index(spark, log_dir, to_batch=15), position=LATEST)
+    return _page(read_page(spark, log_dir, start, PAGE))
+
+
+def log_positions_after_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions after two pages by the index."""
+    log_dir = _land_in_batches(spark, sf_dir)
+    at = shard_positions(read_index(spark, log_dir))
+    for _ in range(2):
+        at = advance(at, read_page(spark, log_dir, at, 50 * PAGE))
+    return at
+
+
+def log_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return list_streams(read_index(spark, _land_by_the_day(spark, sf_dir)))
+
+
+def log_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_inventory(read_index(spark, _land_in_batches(spark, sf_dir)))
+
+
+def log_positions_oldest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_positions(read_index(spark, _land_in_batches(spark, sf_dir)))
+
+
+def log_positions_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_positions(read_index(spark, _land_in_batches(spark, sf_dir)), position=LATEST)
+
+
+def log_after_broken_move(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a log whose last put broke off, and which of them were seen before it was completed."""
+    log_dir = _land_in_batches(spark, sf_dir)
+    # Back to where a put is that dies while files move: its list is there, no commit.
+    shared.rename(spark, commit_path(log_dir, 2), f"{log_dir}/_landing/2.json")
+    first_file = files_of(shared.read_text(spark, f"{log_dir}/_landing/2.json"))[0][0]
+    shared.rename(spark, f"{log_dir}/batch_id=2/{first_file}", f"{log_dir}/_landing/batch_id=2/{first_file}")
+    before = shared.pin(log_values(spark, log_dir).select(*SHARD, "sequence_number", F.lit(True).alias("seen")), "seen")
+    put_records(event_records(spark, sf_dir).limit(0), log_dir, 2)
+    seen = log_values(spark, log_dir).join(before, [*SHARD, "sequence_number"], "left")
+    return seen.withColumn("seen", F.coalesce("seen", F.lit(False)))
 
 
 def _near_the_end_of_the_first_batch(log: DataFrame) -> DataFrame:
@@ -308,5 +377,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_log_first_page": log_first_page,
     "read_log_page_across_batches": log_page_across_batches,
     "read_log_next_positions": log_next_positions,
+    "log_page_by_index": log_page_by_index,
+    "log_positions_after_pages": log_positions_after_pages,
+    "log_streams": log_streams,
+    "log_inventory": log_inventory,
+    "log_positions_oldest": log_positions_oldest,
+    "log_positions_latest": log_positions_latest,
+    "log_after_broken_move": log_after_broken_move,
     "csv_header_scan": csv_header_scan,
 }

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import logging
+import threading
 import time
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -71,15 +74,82 @@ def dispatch(
             return
         handler(view(batch if parallelism is None else batch.repartition(parallelism)), batch_id)
 
+    gate = _Gate()
+
+    def gated(batch: DataFrame, batch_id: int) -> None:
+        with gate.batch(batch_id):
+            run(batch, batch_id)
+
     view(records)  # refuses records or options that cannot work before the query starts
-    writer = records.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    writer = records.writeStream.foreachBatch(gated).option("checkpointLocation", checkpoint)
     if query_name is not None:
         writer = writer.queryName(query_name)
     if available_now:
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=interval)
-    return writer.start()
+    query = writer.start()
+    _gates[query.runId] = gate
+    return query
+
+
+class _Gate:
+    """Lets the batches of a query through, one at a time, until it is closed."""
+
+    def __init__(self) -> None:
+        self.open, self.idle, self.last = True, threading.Lock(), -1
+
+    @contextmanager
+    def batch(self, batch_id: int) -> Iterator[None]:
+        with self.idle:
+            if not self.open:
+                # Not begun, so the next start of the query has it whole.
+                raise RuntimeError("the query is being stopped")
+            yield
+            self.last = batch_id
+
+
+_gates: dict[str, _Gate] = {}
+
+
+def stop_between_batches(query: StreamingQuery) -> None:
+    """Stop a query of ``dispatch`` or ``consume`` when no batch is under way.
+
+    A batch that a handler has begun is finished and committed first, so the next start
+    neither repeats nor lacks one.
+    """
+    gate = _gates.pop(query.runId, None)
+    if gate is not None:
+        with gate.idle:
+            gate.open = False
+        # Committed once the query says so, or has gone on to a batch the gate refused.
+        while query.isActive and gate.last >= 0 and (query.lastProgress or {"batchId": -1})["batchId"] < gate.last:
+            time.sleep(0.05)
+    query.stop()
+
+
+def await_consumers(
+    queries: Iterable[StreamingQuery], stop_marker: str | None = None, poll_seconds: float = 5.0
+) -> None:
+    """Wait for several consumers at once, until all have ended.
+
+    When ``stop_marker`` appears, a file on any file system, or when one of them fails, the
+    others are stopped between their batches; a failure is raised then.
+    """
+    queries = list(queries)
+    while any(query.isActive for query in queries):
+        spark = SparkSession.active()
+        failed = any(not query.isActive and query.exception() for query in queries)
+        if failed or (stop_marker is not None and shared.exists(spark, stop_marker)):
+            for query in queries:
+                if query.isActive:
+                    stop_between_batches(query)
+            break
+        next(query for query in queries if query.isActive).awaitTermination(poll_seconds)
+    for query in queries:
+        _gates.pop(query.runId, None)
+        if (error := query.exception()) is not None and "the query is being stopped" not in str(error):
+            raise error
 
 
 def _await_commits(batch: DataFrame) -> bool:

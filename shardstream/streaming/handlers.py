@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from datetime import datetime, timezone
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame
 
 from shardstream.model import Handler
@@ -53,18 +55,47 @@ def log_stats(n: int = 10) -> Handler:
     return handle
 
 
-def compose(*handlers: Handler) -> Handler:
-    """Run several handlers on a batch, in turn, reading the batch once.
+def compose(*handlers: Handler, concurrent: bool = False) -> Handler:
+    """Run several handlers on a batch, in turn or all at once, reading the batch once.
 
-    The first to raise ends the batch, so that none is lost unnoticed.
+    The first to raise ends the batch, so that none is lost unnoticed. With ``concurrent``
+    each runs in a thread of its own with the local properties of the caller (a scheduler
+    pool among them), the error of the first that fails cancels the jobs of the others, and
+    the batch is done when all are.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            if concurrent:
+                _run_together(handlers, batch, batch_id)
+                return
             for handler in handlers:
                 handler(batch, batch_id)
         finally:
             batch.unpersist()
 
     return handle
+
+
+def _run_together(handlers: tuple[Handler, ...], batch: DataFrame, batch_id: int) -> None:
+    context, tag = batch.sparkSession.sparkContext, f"shardstream-{uuid.uuid4().hex}"
+    errors: list[BaseException] = []
+
+    def run(handler: Handler) -> None:
+        context.addJobTag(tag)
+        try:
+            handler(batch, batch_id)
+        except BaseException as error:  # noqa: BLE001
+            errors.append(error)
+            context.cancelJobsWithTag(tag)
+        finally:
+            context.removeJobTag(tag)
+
+    threads = [InheritableThread(target=run, args=(handler,)) for handler in handlers]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    if errors:
+        raise errors[0]

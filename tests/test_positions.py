@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import random
+import re
+from collections import Counter
+
 import pytest
 from helpers import keys, page, plan_of, positions, records
 from hypothesis import given, settings
@@ -8,10 +12,14 @@ from pyspark.sql import functions as F
 
 from shardstream import (
     LATEST,
+    adopt_batches,
     advance,
     list_streams,
+    positions_with_new_shards,
     put_records,
+    read_index,
     read_log,
+    read_page,
     read_records,
     route_records,
     shard_inventory,
@@ -195,3 +203,49 @@ def test_large_positions_are_not_broadcast(spark):
         assert keys(batch) == page(ROWS, {("a", 0): 0, ("a", 1): 0, ("b", 0): 0}, 3)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_pages_by_the_index_agree_with_brute_force(spark, folder):
+    """Two hundred batches, some without records of a shard; laggards, caught-up shards, new ones."""
+    rng, folder = random.Random(5), f"{folder}/log"
+    rows = [("s", shard_id, batch * BATCH_SPAN + n) for shard_id in range(3) for batch in range(200) for n in range(rng.randint(0, 6))]
+    rows += [("late", 0, 150 * BATCH_SPAN + n) for n in range(40)]
+    table = records(spark, rows).withColumn("batch_id", F.shiftright("sequence_number", 32))
+    table.coalesce(1).write.partitionBy("batch_id", "stream", "shard_id").parquet(folder)
+    adopt_batches(spark, folder)
+    last = max(n for s, shard_id, n in rows if (s, shard_id) == ("s", 2))
+    start = {("s", 0): 17 * BATCH_SPAN + 3, ("s", 1): 120 * BATCH_SPAN, ("s", 2): last + 1, ("late", 0): 0, ("new", 9): 0}
+    at = positions(spark, [(*shard, n) for shard, n in start.items()])
+    for limit in (0, 1, 7, 50):
+        assert keys(read_page(spark, folder, at, limit)) == page(rows, start, limit)
+    only = {shard: n for shard, n in start.items() if shard[0] == "s"}
+    assert keys(read_page(spark, folder, at, 7, stream="s")) == page(rows, only, 7)
+    with pytest.raises(ValueError):
+        read_page(spark, folder, at, -1)
+    index = read_index(spark, folder)
+    inventory = shard_inventory(read_log(spark, folder)).collect()
+    assert Counter(shard_inventory(index).collect()) == Counter(inventory)
+    for position in ("trim_horizon", "latest"):
+        want = shard_positions(read_log(spark, folder), position=position).collect()
+        assert Counter(shard_positions(index, position=position).collect()) == Counter(want)
+    assert [r.stream for r in list_streams(index).collect()] == ["late", "s"]
+    assert positions_with_new_shards(index, positions(spark, [("s", 0, 5)])).count() == 4
+
+
+def test_a_page_by_the_index_opens_two_batches_and_no_key_beside(spark, folder, monkeypatch):
+    folder = f"{folder}/log"
+    rows = [("s", 0, batch * BATCH_SPAN + n) for batch in range(200) for n in range(10)]
+    table = records(spark, rows).withColumn("batch_id", F.shiftright("sequence_number", 32))
+    table.coalesce(1).write.partitionBy("batch_id", "stream", "shard_id").parquet(folder)
+    adopt_batches(spark, folder)
+    at = positions(spark, [("s", 0, 88 * BATCH_SPAN + 6)])
+    opened = []
+    monkeypatch.setattr("shardstream.operators.positions._near_ranges", lambda *_: opened.append("keys"))
+    found = read_page(spark, folder, at, 10)
+    assert keys(found) == page(rows, {("s", 0): 88 * BATCH_SPAN + 6}, 10)
+    plan = plan_of(found)
+    assert re.search(r"PartitionFilters: .*batch_id#\d+L >= 88\), \(batch_id#\d+L <= 89\)", plan) and not opened
+    # Metadata comes from commits: no data file is scanned.
+    for asked in (list_streams, shard_inventory, shard_positions):
+        plan = plan_of(asked(read_index(spark, folder)))
+        assert "Scan parquet" not in plan and "_commits" in plan
