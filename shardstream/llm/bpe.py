@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 
 import duckdb
 import numpy as np
@@ -157,7 +158,7 @@ class _Coder:
         if len(self.pieces) + len(new) > CACHED_PIECES:
             self.pieces.clear()
             new = set().union(*split)
-        found = {piece: self.pattern.findall(piece) for piece in new}
+        found = {piece: [piece] if _is_word(piece) else self.pattern.findall(piece) for piece in new}
         self._learn_words(set().union(*found.values()))
         for piece, words in found.items():
             self.pieces[piece] = b"".join([self.words[word] for word in words])
@@ -176,6 +177,8 @@ class _Coder:
 
 #: A space between other white space: the pattern's matches may run across it.
 _INNER_SPACE = regex.compile(r"\s (?:\s|$)")
+#: Marks between a letter and white space, and a line end between other characters: matches of their own.
+_ALONE = re.compile(r"(?<=[a-z])[.,!?;:]+(?=\s)|(?<=\S)\n(?=\S)")
 
 
 def _pieces(text: str) -> list[str]:
@@ -183,13 +186,18 @@ def _pieces(text: str) -> list[str]:
 
     A space before something else begins a match, and one behind something else cannot
     lie within one, so a text may be cut before each unless white space is on both sides.
+    What is a match of its own is cut out.
     """
     if not text:
         return []
-    if _INNER_SPACE.search(text):
+    if _INNER_SPACE.search(text) or "\0" in text:
         return [text]
-    first, *rest = text.split(" ")
-    return [first, *[" " + piece for piece in rest]] if first else [" " + piece for piece in rest]
+    return list(filter(None, _ALONE.sub("\0\\g<0>\0", text).replace(" ", "\0 ").split("\0")))
+
+
+def _is_word(piece: str) -> bool:
+    """Whether a piece is letters, behind a space or not: one match."""
+    return piece.isalpha() or (piece[0] == " " and piece[1:].isalpha())
 
 
 def _coder(ranks_path: str, pattern: str) -> _Coder:
