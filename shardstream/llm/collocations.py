@@ -44,7 +44,7 @@ FILTER_BITS = 1 << 26
 #: Prefixes with this share of all words are split, by next word, into so many parts.
 HOT_SHARE, HOT_PARTS = 1000, 64
 #: Entries that a task combines before it passes on what it has.
-ENTRIES_AT_ONCE = 3_000_000
+ENTRIES_AT_ONCE = 1_500_000
 
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 _NO_NEXT = np.uint64(0)
