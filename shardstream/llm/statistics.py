@@ -129,18 +129,22 @@ def document_statistics(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
 
 
 def labelled_sample(statistics: DataFrame, labels: DataFrame, label: str, bound: int, held_out: bool) -> np.ndarray:
-    """About ``bound`` labelled rows as an array: a fold by id, the label, then ``RATIOS``.
+    """About ``bound`` labelled documents as an array: a fold by id, the label, then ``RATIOS``.
 
-    Labels other than 0 and 1 are left out. With ``held_out``, so are rows whose
-    ``crc32(doc_id as text) mod 5`` is 0. Rows are chosen by a hash of their id.
+    Labels other than 0 and 1 are left out, as are ids labelled both ways. With ``held_out``,
+    so are rows whose ``crc32(doc_id as text) mod 5`` is 0. Ids are chosen by their hash. An
+    id gives one row however many documents or labels share it: the least by its ratios.
     """
-    labels = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1))
+    given = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     if held_out:
-        labels = labels.where(fold % 5 != 0)
-    share = min(1.0, bound / max(labels.count(), 1))
-    chosen = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = chosen.join(statistics.select("doc_id", *RATIOS), "doc_id").select((fold % 3).alias("fold"), "label", *RATIOS)
-    columns = rows.toArrow()
+        given = given.where(fold % 5 != 0)
+    given = given.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most")
+    share = min(1.0, bound / max(given.count(), 1))
+    chosen = given.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))).drop("most")
+    rows = chosen.join(statistics.select("doc_id", *RATIOS), "doc_id")
+    # The minimum is taken before the shuffle, so that an id on many rows meets as one per task.
+    rows = rows.groupBy("doc_id", "label").agg(F.min(F.struct(*RATIOS)).alias("least"))
+    columns = rows.select((fold % 3).alias("fold"), "label", "least.*").toArrow()
     found = np.array([columns.column(i).to_numpy() for i in range(columns.num_columns)], float).T
     return found.reshape(-1, 2 + len(RATIOS))[np.lexsort(found.T) if len(found) else slice(0)]
