@@ -7,7 +7,8 @@ rendered in one canonical form without markers.
 
 A null, empty or blank transcript has no turns and is rendered as an empty text. Repeated
 rows and ids are parsed alike; columns other than those read change nothing; an empty
-table gives an empty result.
+table gives an empty result. Turns without a conversation's id belong to nothing: each is
+a transcript of its own, and the model is not counted from them.
 """
 
 from __future__ import annotations
@@ -17,15 +18,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardstream.llm.arrow import batch, fields, map_arrow
+from shardstream.shared import pin
 
 ROLES = ("system", "user", "assistant")
-#: Conversations the model is counted from, about.
-SAMPLE_CONVERSATIONS = 2_000
+#: Turns the model is counted from, at most.
+SAMPLE_TURNS = 20_000
 
 # Names of speakers by role.
 SPEAKERS = {
@@ -33,6 +35,8 @@ SPEAKERS = {
     "user": ("User", "Human", "Customer", "Question", "Q"),
     "assistant": ("Assistant", "AI", "Bot", "Agent", "Answer", "A"),
 }
+# Forms of a marker around a speaker's name.
+FORMS = ("{}: ", "### {}\n", "**{}:** ", "[{}]: ", "<|{}|>\n", "{} - ", "{}> ")
 _ROLE_OF = {name.lower(): i for i, role in enumerate(ROLES) for name in SPEAKERS[role]}
 _MARKER = re.compile(r"\s*(?:#{1,4}\s*|\*\*|\[|<\|?)?([A-Za-z]{1,14})(?:\*\*|\]|\|?>)?\s*(?::|>|-|$)(?:\*\*)?\s*")
 _LOOKS = 6  # blank, question, list or code, short, middle, long
@@ -93,27 +97,47 @@ class Model:
         return [(role, "\n".join(body).strip()) for role, body in turns]
 
 
-def train(turns: list[tuple[list[tuple[str, str]], float]]) -> Model:
-    """Count conversations of (role, text); ``marked`` is the share of turns with a marker."""
-    start, step = np.full(6, 0.1), np.full((6, 6), 0.01)
-    marker, looks = np.full((6, 4), 0.02), np.full((6, _LOOKS), 0.5)
+class _Counts:
+    """What is counted of labelled turns, in the order of their conversations."""
+
+    def __init__(self) -> None:
+        self.start, self.step = np.zeros(6), np.zeros((6, 6))
+        self.marker, self.looks = np.zeros((6, 4)), np.zeros((6, _LOOKS))
+        self.last: int | None = None
+
+    def add(self, role: str, text: str | None, first: bool, marked: float | None = None) -> None:
+        """A turn, ``first`` of its conversation or not; with ``marked`` its text has no marker,
+        but that share of such turns has."""
+        if first:
+            self.last = None
+        for k, line in enumerate((text or "").split("\n")):
+            state = 2 * ROLES.index(role) + (k > 0)
+            shown, looks, _ = observe(line)
+            if marked is None:
+                self.marker[state, shown] += 1
+            else:
+                self.marker[state, ROLES.index(role)] += marked * (k == 0)
+                self.marker[state, 3] += 1 - marked * (k == 0)
+            self.looks[state, looks] += 1
+            if self.last is None:
+                self.start[state] += 1
+            else:
+                self.step[self.last, state] += 1
+            self.last = state
+
+    def pack(self) -> np.ndarray:
+        return np.concatenate([a.ravel() for a in (self.start, self.step, self.marker, self.looks)])
+
+
+def _model(counts: np.ndarray) -> Model:
+    """The model of packed counts."""
+    start, step, marker, looks = np.split(counts, np.cumsum([6, 36, 24]))
+    start, step = start + 0.1, step.reshape(6, 6) + 0.01
+    marker, looks = marker.reshape(6, 4) + 0.02, looks.reshape(6, _LOOKS) + 0.5
     # Before anything is seen, lines continue their turn and have no marker then.
     marker[1::2, 3] += 1
     step[range(0, 6, 2), range(1, 6, 2)] += 1
     step[range(1, 6, 2), range(1, 6, 2)] += 1
-    for conversation, marked in turns:
-        last = None
-        for role, text in conversation:
-            for k, line in enumerate((text or "").split("\n")):
-                state = 2 * ROLES.index(role) + (k > 0)
-                marker[state, ROLES.index(role)] += marked * (k == 0)
-                marker[state, 3] += 1 - marked * (k == 0)
-                looks[state, observe(line)[1]] += 1
-                if last is None:
-                    start[state] += 1
-                else:
-                    step[last, state] += 1
-                last = state
     # A turn's lines continue it, or another turn begins.
     for a in range(6):
         for b in range(1, 6, 2):
@@ -124,15 +148,51 @@ def train(turns: list[tuple[list[tuple[str, str]], float]]) -> Model:
     return Model(share(start), share(step), share(marker), share(looks))
 
 
-def learn(conversations: DataFrame, marked: float = 0.9, sample: int = SAMPLE_CONVERSATIONS) -> Model:
-    """Count the turns of a bounded sample of conversations, chosen by a hash of their id."""
-    known = conversations.select("conv_id", "turn", "role", "text").where(F.col("role").isin(*ROLES))
-    share = min(1.0, sample / max(known.select("conv_id").where("turn = 0").count(), 1))
-    drawn = known.where(F.pmod(F.xxhash64("conv_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    found: dict[int, list[tuple[str, str]]] = {}
-    for row in sorted(drawn.toArrow().to_pylist(), key=lambda r: (r["conv_id"] or 0, r["turn"] or 0)):
-        found.setdefault(row["conv_id"], []).append((row["role"], row["text"]))
-    return train([(turns, marked) for turns in found.values()])
+def train(turns: list[tuple[list[tuple[str, str]], float]]) -> Model:
+    """Count conversations of (role, text); ``marked`` is the share of turns with a marker."""
+    counts = _Counts()
+    for conversation, marked in turns:
+        for k, (role, text) in enumerate(conversation):
+            counts.add(role, text, k == 0, marked)
+    return _model(counts.pack())
+
+
+def _drawn(known: DataFrame, turns: int) -> DataFrame:
+    """Whole conversations of at most ``turns`` turns in all, chosen by a hash of their id.
+
+    A conversation that alone passes the bound is not drawn.
+    """
+    sizes = known.groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") <= turns)
+    sizes = pin(sizes.withColumn("draw", F.xxhash64("conv_id")), "conversations")
+    upto = F.sum("n").over(Window.orderBy("draw", "conv_id").rowsBetween(Window.unboundedPreceding, 0))
+    # Each has a turn or more, so the first ``turns`` of them are enough to add up.
+    chosen = sizes.orderBy("draw", "conv_id").limit(turns).withColumn("upto", upto).where(F.col("upto") <= turns)
+    return known.join(pin(chosen.select("conv_id"), "drawn"), "conv_id")
+
+
+def learn(conversations: DataFrame, marked: float = 0.9, turns: int = SAMPLE_TURNS) -> Model:
+    """Count a sample of whole conversations of at most ``turns`` turns in all.
+
+    Turns that say how they are ``shown`` (see ``show``) teach the model which have markers;
+    of others the share ``marked`` is taken to. Tasks count, and only sums reach the driver.
+    """
+    seen = "shown" in conversations.columns
+    known = conversations.select("conv_id", "turn", "role", F.col("shown" if seen else "text").alias("text"))
+    known = known.where(F.col("role").isin(*ROLES) & F.col("conv_id").isNotNull())
+
+    def run(batches):
+        counts, last = _Counts(), None
+        for rows in batches:
+            for conv_id, role, text in zip(*(rows.column(c).to_pylist() for c in ("conv_id", "role", "text")), strict=True):
+                counts.add(role, text, conv_id != last, None if seen else marked)
+                last = conv_id
+        yield batch(schema, pa.array([counts.pack().tolist()], pa.list_(pa.float64())))
+
+    schema = fields(counts=T.ArrayType(T.DoubleType()))
+    ordered = _drawn(known, turns).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "text")
+    # Whole or tenth counts: rounding makes their sum the same in any order of tasks.
+    sums = map_arrow(ordered, run, schema).select(F.posexplode("counts").alias("at", "n")).groupBy("at").agg(F.round(F.sum("n"), 6).alias("n"))
+    return _model(np.array([row.n for row in sorted(sums.collect())] or _Counts().pack()))
 
 
 def render(turns: list[tuple[str, str]]) -> str:
@@ -157,16 +217,39 @@ def format_chats(transcripts: DataFrame, model: Model, conv_id: str = "conv_id",
     return map_arrow(transcripts.select(F.col(conv_id).alias("conv_id"), F.col(text).alias("transcript")), run, schema)
 
 
-def transcribe(conversations: DataFrame) -> DataFrame:
-    """``conv_id`` and ``transcript``: a conversation's turns in order, with names of speakers.
+def show(conversations: DataFrame, unmarked: int = 8) -> DataFrame:
+    """The turns with their text as ``shown`` in a transcript: behind a marker of one of
+    ``FORMS`` and one of its role's names, or, for one in ``unmarked`` turns, without any.
 
-    A transcript is one row, so a conversation has to fit one; rows of unknown role get no name.
+    Both are chosen by a hash of the conversation and the turn. Rows of other roles have none.
     """
-    draw = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(60))
-    name = F.lit("")
+    draw = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(1 << 40))
+    marker = F.lit("")
     for role, names in SPEAKERS.items():
-        choice = F.get(F.array(*(F.lit(f"{n}: ") for n in names)), F.pmod(draw, F.lit(len(names))).cast("int"))
-        name = F.when(F.col("role") == role, choice).otherwise(name)
-    line = F.concat(name, F.coalesce("text", F.lit("")))
-    turns = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", line.alias("line")))).alias("turns"))
-    return turns.select("conv_id", F.array_join("turns.line", "\n").alias("transcript"))
+        listed = [form.format(name) for name in names for form in FORMS]
+        choice = F.get(F.array(*map(F.lit, listed)), F.pmod(draw, F.lit(len(listed))).cast("int"))
+        marker = F.when(F.col("role") == role, choice).otherwise(marker)
+    marker = F.when(F.pmod(F.shiftright(draw, 20), F.lit(unmarked)) == 0, F.lit("")).otherwise(marker)
+    return conversations.withColumn("shown", F.concat(marker, F.coalesce("text", F.lit(""))))
+
+
+def transcribe(conversations: DataFrame) -> DataFrame:
+    """``conv_id`` and ``transcript``: a conversation's turns in order, as they are ``shown``.
+
+    Turns without that column (see ``show``) get a name and a colon, those of unknown role
+    nothing. A transcript is one row, so a conversation has to fit one; each turn without a
+    conversation's id is a transcript of its own.
+    """
+    line = F.col("shown")
+    if "shown" not in conversations.columns:
+        draw = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(60))
+        name = F.lit("")
+        for role, names in SPEAKERS.items():
+            choice = F.get(F.array(*(F.lit(f"{n}: ") for n in names)), F.pmod(draw, F.lit(len(names))).cast("int"))
+            name = F.when(F.col("role") == role, choice).otherwise(name)
+        line = F.concat(name, F.coalesce("text", F.lit("")))
+    lines = conversations.select("conv_id", "turn", line.alias("line"))
+    turns = lines.where("conv_id IS NOT NULL").groupBy("conv_id")
+    turns = turns.agg(F.sort_array(F.collect_list(F.struct("turn", "line"))).alias("turns"))
+    whole = turns.select("conv_id", F.array_join("turns.line", "\n").alias("transcript"))
+    return whole.unionByName(lines.where("conv_id IS NULL").select("conv_id", F.col("line").alias("transcript")))

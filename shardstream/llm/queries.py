@@ -40,9 +40,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations as transcripts, parsed and rendered as chat turns."""
-    conversations = _table(spark, sf_dir, "conversations")
-    return chat.format_chats(chat.transcribe(conversations), chat.learn(conversations))
+    """All conversations as transcripts with markers of all forms, one in eight turns without,
+    parsed and rendered as chat turns."""
+    turns = chat.show(_table(spark, sf_dir, "conversations"))
+    return chat.format_chats(chat.transcribe(turns), chat.learn(turns))
 
 
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,3 +49,63 @@ def test_viterbi_finds_the_best_of_all_sequences():
 
         best = max(map(worth, product(range(6), repeat=4)))
         assert abs(worth(m.roles(lines)) - best) < 1e-9
+
+
+def lines_by_role(turns):
+    return [role for role, text in turns for _ in text.strip().split("\n")]
+
+
+def by_markers(transcript):
+    """Roles where a line's marker says so, else the line before's."""
+    turns = []
+    for line in transcript.split("\n"):
+        role, _, begin = chat.observe(line)
+        if role < 3 or not turns:
+            turns.append((chat.ROLES[role] if role < 3 else "user", [line[begin:]]))
+        else:
+            turns[-1][1].append(line)
+    return [(role, "\n".join(lines).strip()) for role, lines in turns]
+
+
+def test_roles_where_markers_vary_and_lack(spark):
+    turns = chat.show(spark.read.parquet(f"{SF_DIR}/conversations.parquet"))
+    rows = sorted(turns.collect(), key=lambda r: (r.conv_id, r.turn))
+    assert 0.05 < sum(r.shown == r.text for r in rows) / len(rows) < 0.25
+    want: dict = {}
+    for r in rows:
+        want.setdefault(r.conv_id, []).append((r.role, r.text))
+    held_out = F.pmod("conv_id", F.lit(5)) == 0
+    model = chat.learn(turns.where(~held_out))
+    right, simple, n = 0, 0, 0
+    for r in chat.transcribe(turns.where(held_out)).collect():
+        parsed = model.parse(r.transcript)
+        truth = lines_by_role(want[r.conv_id])
+        n += len(truth)
+        right += sum(a == b for a, b in zip(truth, lines_by_role(parsed), strict=False))
+        simple += sum(a == b for a, b in zip(truth, lines_by_role(by_markers(r.transcript)), strict=False))
+    print("lines", n, "model", right / n, "markers", simple / n)
+    assert right / n >= 0.9 and right > simple
+
+
+def test_model_is_counted_from_bounded_turns(spark):
+    """Turns from 1, a conversation with a third of the rows, and turns without an id."""
+    rows = [(c, t, ("user", "assistant")[t % 2], f"text {t}") for c in range(200) for t in range(1, 5)]
+    rows += [(999, t, "system", "hot") for t in range(400)] + [(None, t, "system", "none") for t in range(50)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    known = turns.where("conv_id IS NOT NULL")
+    drawn = chat._drawn(known, 100).collect()
+    assert 90 < len(drawn) <= 100 and all(r.conv_id != 999 for r in drawn)
+    assert {len([r for r in drawn if r.conv_id == c]) for c in {r.conv_id for r in drawn}} == {4}
+    one = chat.learn(turns, turns=100)
+    assert np.exp(one.start[0]) < 0.01  # neither the hot conversation nor turns without an id
+    assert (chat.learn(turns, turns=100).step == one.step).all()
+    found = chat.transcribe(turns.withColumn("shown", F.col("text"))).where("conv_id IS NULL").collect()
+    assert [r.transcript for r in found] == ["none"] * 50
+    assert chat.learn(turns.limit(0)).start.shape == (6,)
+
+
+def test_ids_of_text(spark):
+    rows = [("a", 1, "user", "Hi?"), ("a", 2, "assistant", "Yes."), (None, 1, "user", "x")]
+    turns = chat.show(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string"))
+    found = chat.format_chats(chat.transcribe(turns), chat.learn(turns)).collect()
+    assert sorted((r.conv_id or "", r.n_turns) for r in found) == [("", 1), ("a", 2)]
