@@ -18,7 +18,7 @@ from shardstream.operators import (
     shard_positions,
     union_streams,
 )
-from shardstream.sources import adopt_batches, read_csv_with_header, read_index, read_log, record_stream
+from shardstream.sources import adopt_batches, compact_log, read_csv_with_header, read_index, read_log, record_stream
 from shardstream.streaming import (
     await_consumers,
     compose,
@@ -42,6 +42,7 @@ __all__ = [
     "advance",
     "await_consumers",
     "batch_stats",
+    "compact_log",
     "compose",
     "consume",
     "decode_records",

@@ -27,6 +27,13 @@ def _ends(log: DataFrame) -> tuple[Column, Column]:
     return F.col(names[0]), F.col(names[1])
 
 
+def _oldest(log: DataFrame) -> Column:
+    """The aggregate of a shard's lowest number. Of an index, rows without records (what is
+    left of expired batches) count only where a shard has no other."""
+    first, _ = _ends(log)
+    return F.coalesce(F.min(F.when(F.col("records") > 0, first)), F.min(first)) if _is_index(log) else F.min(first)
+
+
 def list_streams(log: DataFrame) -> DataFrame:
     """The names of all streams, in order."""
     return log.select("stream").distinct().orderBy("stream")
@@ -34,14 +41,14 @@ def list_streams(log: DataFrame) -> DataFrame:
 
 def shard_inventory(log: DataFrame, stream: str | None = None) -> DataFrame:
     """Every shard, with its record count and its first and last record."""
-    first, last = _ends(log)
+    _, last = _ends(log)
     arrivals = ("first_arrival", "last_arrival") if _is_index(log) else ("arrival_ts",) * 2
     return (
         _of_stream(log, stream)
         .groupBy(*SHARD)
         .agg(
             (F.sum("records") if _is_index(log) else F.count("*")).alias("records"),
-            F.min(first).alias("first_sequence"),
+            _oldest(log).alias("first_sequence"),
             F.max(last).alias("last_sequence"),
             F.min(arrivals[0]).alias("first_arrival"),
             F.max(arrivals[1]).alias("last_arrival"),
@@ -59,8 +66,8 @@ def shard_positions(
     check_position(position)
     if shard_id is not None:
         log = log.where(F.col("shard_id") == shard_id)
-    first, last = _ends(log)
-    sequence = F.min(first) if position == TRIM_HORIZON else F.max(last) + 1
+    _, last = _ends(log)
+    sequence = _oldest(log) if position == TRIM_HORIZON else F.max(last) + 1
     return _of_stream(log, stream).groupBy(*SHARD).agg(sequence.alias("next_sequence"))
 
 

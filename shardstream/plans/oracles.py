@@ -223,6 +223,20 @@ ORACLES: dict[str, str] = {
     "log_after_broken_move": f"""
         {_IN_BATCHES} SELECT {_PAGE}, batch_id < 2 AS seen FROM landed
     """,
+    "log_page_after_expiry": f"""
+        {_BY_THE_DAY}, paged AS (SELECT *, {_NUMBERED} AS place FROM landed WHERE batch_id >= 10)
+        SELECT {_PAGE} FROM paged WHERE place <= 10
+    """,
+    "log_inventory_after_expiry": f"""
+        {_BY_THE_DAY}
+        SELECT stream, shard_id, count(*) AS records,
+               min(sequence_number) AS first_sequence, max(sequence_number) AS last_sequence,
+               min(arrival_ts) AS first_arrival, max(arrival_ts) AS last_arrival
+        FROM landed WHERE batch_id >= 10 GROUP BY stream, shard_id
+    """,
+    "stream_after_expiry": f"""
+        {_BY_THE_DAY} SELECT value FROM landed WHERE batch_id >= 10 UNION ALL SELECT value FROM records
+    """,
     "csv_header_scan": """
         SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey,
                o_orderstatus, o_totalprice::VARCHAR AS o_totalprice,

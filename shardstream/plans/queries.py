@@ -12,6 +12,7 @@ from shardstream import (
     adopt_batches,
     advance,
     batch_stats,
+    compact_log,
     compose,
     consume,
     decode_records,
@@ -185,6 +186,33 @@ def log_positions_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_positions(read_index(spark, _land_in_batches(spark, sf_dir)), position=LATEST)
 
 
+def _expired_log(spark: SparkSession, sf_dir: str) -> str:
+    """The log of a batch a day without its first ten, which are deleted, and with its commits merged."""
+    log_dir = _land_by_the_day(spark, sf_dir)
+    compact_log(spark, log_dir, keep_from=10)
+    compact_log(spark, log_dir)
+    return log_dir
+
+
+def log_page_after_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page from positions at the begin of a log whose oldest batches have expired."""
+    log_dir = _expired_log(spark, sf_dir)
+    start = shard_positions(read_index(spark, log_dir)).withColumn("next_sequence", F.lit(0).cast("bigint"))
+    return _page(read_page(spark, log_dir, start, PAGE))
+
+
+def log_inventory_after_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_inventory(read_index(spark, _expired_log(spark, sf_dir)))
+
+
+def stream_after_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A consumer that starts at the oldest record kept, and one more batch."""
+    log_dir, out = _expired_log(spark, sf_dir), scratch_path(spark, "text")
+    put_records(event_records(spark, sf_dir), log_dir, 1000, ["sequence_number"])
+    _consume_all(spark, log_dir, text_sink(out), columns=["data"])
+    return spark.read.text(out).select("value")
+
+
 def log_after_broken_move(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of a log whose last put broke off, and which of them were seen before it was completed."""
     log_dir = _land_in_batches(spark, sf_dir)
@@ -384,5 +412,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_positions_oldest": log_positions_oldest,
     "log_positions_latest": log_positions_latest,
     "log_after_broken_move": log_after_broken_move,
+    "log_page_after_expiry": log_page_after_expiry,
+    "log_inventory_after_expiry": log_inventory_after_expiry,
+    "stream_after_expiry": stream_after_expiry,
     "csv_header_scan": csv_header_scan,
 }

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shardstream import shared
 from shardstream.model import LATEST, RECORD, TRIM_HORIZON, check_position
-from shardstream.sources.commits import LAYOUT, committed, visible
+from shardstream.sources.commits import LAYOUT, read_commits, visible
 
 #: The column that says which batch of which log a streamed record comes from.
 BATCH_OF = "_batch"
@@ -44,8 +44,7 @@ def require_records(spark: SparkSession, log_dir: str, stream: str | None = None
 def frozen_start(spark: SparkSession, log_dir: str, start: str) -> int:
     """The newest batch landed when the query first started, written down once."""
     if not shared.is_complete(spark, start):
-        landed = committed(spark, log_dir)
-        newest = spark.createDataFrame([(max(landed, default=-1),)], "after_batch bigint")
+        newest = spark.createDataFrame([(read_commits(spark, log_dir).newest,)], "after_batch bigint")
         newest.write.mode("overwrite").parquet(start)
     return spark.read.parquet(start).first()["after_batch"]
 
@@ -73,6 +72,8 @@ def record_stream(
 
     Files count whatever their age, so the driver remembers the path of every file of the
     log; ``options={"maxFileAge": "30d"}`` bounds that where no older file can appear.
+    Batches that ``compact_log`` expired are skipped, and their files listed no more once
+    they are deleted.
 
     The column ``_batch`` names each record's log and batch. ``dispatch`` takes it off, and
     holds a micro-batch back until all its batches have a commit.
@@ -87,11 +88,11 @@ def record_stream(
     else:
         shared.make_directory(spark, log_dir)
 
-    after_batch = None
+    after_batch = read_commits(spark, log_dir).first_kept - 1
     if position == LATEST:
         if start is None:
             raise ValueError("position 'latest' needs a start path to remember its start in")
-        after_batch = frozen_start(spark, log_dir, start)
+        after_batch = max(after_batch, frozen_start(spark, log_dir, start))
 
     # The file source skips files much older than the newest one it has seen; a copied or
     # restored log has such files.
@@ -101,6 +102,6 @@ def record_stream(
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     layout = _of_stream(reader.parquet(log_dir), stream)
-    if after_batch is not None:
+    if after_batch >= 0:
         layout = layout.where(F.col("batch_id") > after_batch)
     return layout.select(*RECORD.fieldNames(), F.struct(F.lit(log_dir).alias("log"), "batch_id").alias(BATCH_OF))
