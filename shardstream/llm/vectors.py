@@ -4,7 +4,8 @@ Unit vectors are cut in two halves with a codebook each; pairs of codes are the
 a grid. A vector looks for neighbours in the cells nearest to it: the two codebooks'
 sequences, sorted by how far beyond the bisector between codes a half would have to go,
 are merged cell by cell until what is left holds neighbours at the threshold with less
-than the probability that the target recall leaves. Candidates are verified in double
+than the probability that the target recall leaves, or, for a recall of 1, until no cell
+can hold a neighbour. Candidates are verified in double
 precision, in blocks of cells, by matrix products inside tasks; per block only sums of
 links and a spanning set of them leave the task.
 
@@ -30,10 +31,15 @@ from shardstream.llm.arrow import batch, fields, map_arrow
 from shardstream.llm.groups import components, sorted_groups
 from shardstream.shared import pin
 
-#: Vectors the codebooks are fitted on, about, and codes of each half.
-SAMPLE_VECTORS, CODES = 20_000, 32
+#: Vectors the codebooks are fitted on, about, and codes of each half: the least, and the
+#: most, which bounds what is sent to tasks. Beyond it cells hold more vectors.
+SAMPLE_VECTORS, CODES, MOST_CODES = 20_000, 32, 512
 #: Vectors of a block; a task verifies one block against another.
 BLOCK = 256
+#: Vectors of a cell, about, where the codes are as many as their number asks for.
+CELL = 4 * BLOCK
+#: Sampled vectors whose nearest ones in the sample are looked for.
+PROBES = 2_000
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -111,25 +117,57 @@ class MultiIndex:
         return np.concatenate(vectors or [np.zeros(0, int)]), np.concatenate(cells or [np.zeros(0, int)])
 
 
+def codes_for(vectors: int) -> int:
+    """Codes of each half for so many vectors."""
+    return int(np.clip(np.ceil(np.sqrt(vectors / CELL)), CODES, MOST_CODES))
+
+
+def _turned(x: np.ndarray, towards: np.ndarray, threshold: float) -> np.ndarray:
+    """Each vector turned by the threshold's angle, in the direction of another one."""
+    aside = towards - (towards * x).sum(1, keepdims=True) * x
+    norms = np.linalg.norm(aside, axis=1, keepdims=True)
+    return threshold * x + np.sqrt(1 - threshold**2) * np.divide(aside, norms, out=np.zeros_like(aside), where=norms > 1e-12)
+
+
 def fit(sample: np.ndarray, threshold: float, recall: float, codes: int = CODES, seed: int = 7) -> MultiIndex:
     """Fit codebooks, and the reach that finds ``recall`` of neighbours at the threshold.
 
-    The neighbours are drawn: each sampled vector turned by the threshold's angle in a
-    random direction. Nearer neighbours are found more often.
+    The neighbours lie at the threshold's angle from sampled vectors in three kinds of
+    direction: any one, that of another sampled vector, and that of the nearest ones in the
+    sample. Where data lie near a span or in clusters, the last two keep to it. Pairs of the
+    sample beyond the threshold are a fourth kind. The reach suits the hardest kind; nearer
+    neighbours are found more often. With a recall of 1 it is the square of the distance at
+    the threshold: the way to a neighbour's cell is never longer, so none is lost.
     """
     rng = np.random.default_rng(seed)
     x = unit(sample)
     cut = max(1, x.shape[1] // 2)
     books = tuple(_kmeans(h.copy(), min(codes, max(1, len(x))), rng) for h in (x[:, :cut], x[:, cut:]))
     index = MultiIndex(books)  # type: ignore[arg-type]
-    other = rng.normal(size=x.shape)
-    other -= (other * x).sum(1, keepdims=True) * x
-    norms = np.linalg.norm(other, axis=1, keepdims=True)
-    other = np.divide(other, norms, out=np.zeros_like(other), where=norms > 0)
-    cells = index.cells(threshold * x + np.sqrt(1 - threshold**2) * other)
+    if recall >= 1:
+        index.reach = 2 - 2 * threshold + 1e-9
+        return index
     first, second = index.distances(x)
-    rows, width = np.arange(len(x)), len(books[1])
-    index.reach = float(np.quantile(first[rows, cells // width] + second[rows, cells % width], recall)) + 1e-9
+    width = len(books[1])
+
+    def reach(rows: np.ndarray, neighbours: np.ndarray) -> float:
+        cells = index.cells(neighbours)
+        return float(np.quantile(first[rows, cells // width] + second[rows, cells % width], recall))
+
+    rows = np.arange(len(x))
+    kinds = [(rows, _turned(x, rng.normal(size=x.shape), threshold)), (rows, _turned(x, x[rng.permutation(len(x))], threshold))]
+    near = min(8, len(x) - 1)
+    if near:
+        probes = rng.permutation(len(x))[:PROBES]
+        cosines = x[probes] @ x.T
+        cosines[np.arange(len(probes)), probes] = -2
+        nearest = np.argpartition(-cosines, near - 1, axis=1)[:, :near].ravel()
+        asks = np.repeat(probes, near)
+        kinds.append((asks, _turned(x[asks], x[nearest], threshold)))
+        linked = np.take_along_axis(cosines, nearest.reshape(len(probes), near), 1).ravel() >= threshold
+        if linked.any():
+            kinds.append((asks[linked], x[nearest[linked]]))
+    index.reach = max(reach(*kind) for kind in kinds) + 1e-9
     return index
 
 
@@ -205,7 +243,8 @@ def near_duplicates(
 ) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` for each vector.
 
-    Links are pairs of equal label and a cosine of at least ``threshold``.
+    Links are pairs of equal label and a cosine of at least ``threshold``. A ``recall`` of 1
+    finds all of them, at the price of visiting most cells where vectors have no structure.
     """
     kind = "<f4" if vectors.schema[embedding].dataType == T.ArrayType(T.FloatType(), True) else "<f8"
     rows = pin(_prepared(vectors, vec_id, embedding, label, kind).withColumn("row", F.monotonically_increasing_id()), "vectors")
@@ -215,13 +254,14 @@ def near_duplicates(
     )
     # A written number names a distinct vector in links: ids may be null or shared.
     distinct = pin(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct-vectors")
-    share = min(1.0, SAMPLE_VECTORS / max(distinct.count(), 1))
+    n = distinct.count()
+    share = min(1.0, SAMPLE_VECTORS / max(n, 1))
     drawn = F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int(share * (1 << 30))
     sample = distinct.where(drawn | F.lit(share == 1.0)).select("data").orderBy("data").toArrow().column("data").to_pylist()
     if sample:
         sizes, many = np.unique([len(x) for x in sample], return_counts=True)
         size = sizes[many.argmax()]
-        index = fit(_matrix([x for x in sample if len(x) == size], kind), threshold, recall)
+        index = fit(_matrix([x for x in sample if len(x) == size], kind), threshold, recall, codes_for(n))
     else:
         index = MultiIndex((np.zeros((1, 1)), np.zeros((1, 1))))
 
