@@ -206,4 +206,55 @@ _COLLOCATIONS = """
     FROM lowest QUALIFY rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op12_collocations": _COLLOCATIONS, "op13_mixing": _MIXING}
+_VECTORS = """
+    WITH RECURSIVE usable AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+        WHERE label IS NOT NULL AND len([x for x in embedding if x <> 0]) > 0
+          AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    ), links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b
+        FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+    ), reachable AS (
+        SELECT vec_id, vec_id AS other FROM embeddings
+        UNION
+        SELECT vec_id, b FROM reachable JOIN links ON other = a
+    ), classes AS (
+        SELECT vec_id, min(other) AS component_id FROM reachable GROUP BY vec_id
+    ), counts AS (
+        SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a
+    )
+    SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM classes LEFT JOIN counts USING (vec_id)
+"""
+
+_PASSAGES = """
+    WITH texts AS (
+        SELECT row_number() OVER () AS document, doc_id,
+               regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+        FROM documents
+    ), words AS (
+        SELECT document, unnest(words) AS word, unnest(range(len(words))) AS place FROM texts
+    ), windows AS (
+        SELECT document, place, word, list(word) OVER (
+                   PARTITION BY document ORDER BY place ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) AS following
+        FROM words
+    ), counted AS (
+        SELECT document, place, word,
+               len(following) = 35 AND count(*) OVER (PARTITION BY array_to_string(following, ' ')) > 1 AS repeated
+        FROM windows
+    ), judged AS (
+        SELECT document, place, word, bool_or(repeated) OVER (
+                   PARTITION BY document ORDER BY place ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS removed
+        FROM counted
+    ), joined AS (
+        SELECT document, count_if(removed)::BIGINT AS n_removed,
+               string_agg(word, ' ' ORDER BY place) FILTER (NOT removed) AS kept
+        FROM judged GROUP BY document
+    )
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed,
+           sha256(coalesce(kept, '')) AS kept_sha256
+    FROM texts LEFT JOIN joined USING (document)
+"""
+
+ORACLES: dict[str, str] = {"op1_vectors": _VECTORS, "op7_substrings": _PASSAGES, "op12_collocations": _COLLOCATIONS, "op13_mixing": _MIXING}
