@@ -129,6 +129,18 @@ def _turned(x: np.ndarray, towards: np.ndarray, threshold: float) -> np.ndarray:
     return threshold * x + np.sqrt(1 - threshold**2) * np.divide(aside, norms, out=np.zeros_like(aside), where=norms > 1e-12)
 
 
+def _nearest(x: np.ndarray, probes: np.ndarray, near: int, rows: int = 128) -> tuple[np.ndarray, ...]:
+    """Each probe, its nearest other vectors, and their cosines; a few probes at a time."""
+    found, cosines = [], []
+    for some in np.array_split(probes, len(probes) // rows + 1):
+        cosine = x[some] @ x.T
+        cosine[np.arange(len(some)), some] = -2
+        nearest = np.argpartition(cosine, -near, axis=1)[:, -near:]
+        found.append(nearest.ravel())
+        cosines.append(np.take_along_axis(cosine, nearest, 1).ravel())
+    return np.repeat(probes, near), np.concatenate(found), np.concatenate(cosines)
+
+
 def fit(sample: np.ndarray, threshold: float, recall: float, codes: int = CODES, seed: int = 7) -> MultiIndex:
     """Fit codebooks, and the reach that finds ``recall`` of neighbours at the threshold.
 
@@ -158,14 +170,9 @@ def fit(sample: np.ndarray, threshold: float, recall: float, codes: int = CODES,
     kinds = [(rows, _turned(x, rng.normal(size=x.shape), threshold)), (rows, _turned(x, x[rng.permutation(len(x))], threshold))]
     near = min(8, len(x) - 1)
     if near:
-        probes = rng.permutation(len(x))[:PROBES]
-        cosines = x[probes] @ x.T
-        cosines[np.arange(len(probes)), probes] = -2
-        nearest = np.argpartition(-cosines, near - 1, axis=1)[:, :near].ravel()
-        asks = np.repeat(probes, near)
+        asks, nearest, cosines = _nearest(x, rng.permutation(len(x))[:PROBES], near)
         kinds.append((asks, _turned(x[asks], x[nearest], threshold)))
-        linked = np.take_along_axis(cosines, nearest.reshape(len(probes), near), 1).ravel() >= threshold
-        if linked.any():
+        if (linked := cosines >= threshold).any():
             kinds.append((asks[linked], x[nearest[linked]]))
     index.reach = max(reach(*kind) for kind in kinds) + 1e-9
     return index
