@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardstream.llm.arrow import batch, fields, map_arrow
+from shardstream.llm.columns import own, unused
 from shardstream.llm.groups import components, sorted_groups
 from shardstream.llm.words import Words, blocks, mix, shingles
 from shardstream.shared import pin
@@ -266,8 +267,9 @@ def without_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """
     found = near_duplicates(docs, threshold)
     keep = pin(found.where("kept").select("doc_id", "key").distinct(), "kept")
-    rows = docs.withColumn("__key", F.unhex(F.md5("text")))
-    keep = keep.select(F.col("doc_id").alias("__id"), F.col("key").alias("__keep"))
-    same = rows["doc_id"].eqNullSafe(F.col("__id")) & (rows["__key"] == F.col("__keep"))
-    kept = rows.join(keep, same).dropDuplicates(["doc_id", "__key"]).select(docs.columns)
+    key, key_id, key_kept = (unused(docs, name) for name in ("__key", "__id", "__keep"))
+    rows = docs.withColumn(key, F.unhex(F.md5("text")))
+    keep = keep.select(F.col("doc_id").alias(key_id), F.col("key").alias(key_kept))
+    same = rows["doc_id"].eqNullSafe(F.col(key_id)) & (rows[key] == F.col(key_kept))
+    kept = rows.join(keep, same).dropDuplicates(["doc_id", key]).select(*map(own, docs.columns))
     return kept.unionByName(docs.where("text IS NULL"))

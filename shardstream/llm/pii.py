@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shardstream.llm.columns import own, unused
 from shardstream.shared import pin
 
 # Titles, and words of names.
@@ -244,9 +245,14 @@ def _rendered() -> Column:
     return F.concat("head", rendered.otherwise(new))
 
 
-def replace_entities(docs: DataFrame, key: str = "surrogates", text: str = "text") -> DataFrame:
-    """The documents with ``text`` replaced and ``__entities`` (how many mentions were) added."""
-    pattern, here = _any_pattern(), F.col(text)
+def replace_entities(docs: DataFrame, key: str = "surrogates", text: str = "text", count: str = "__entities") -> DataFrame:
+    """The documents with ``text`` replaced and ``count`` (how many mentions were) added.
+
+    Where the documents have a column of that name it stays, and underscores are put behind
+    the new one's.
+    """
+    count, row_key, row_new, row_names = (unused(docs, name) for name in (count, "__key", "__new", "__names"))
+    pattern, here = _any_pattern(), own(text)
     may_have = F.coalesce(here.rlike(_MAY_HAVE), F.lit(False))
     some = docs.where(may_have).select(here.alias("text"))
     mentions = some.select(F.md5("text").alias("key"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("matches"))
@@ -263,22 +269,22 @@ def replace_entities(docs: DataFrame, key: str = "surrogates", text: str = "text
     mention = F.struct("at", F.when(F.col("new").isNull(), F.col("match")).alias("name"), "new")
     placed = placed.groupBy("key").agg(F.sort_array(F.collect_list(mention)).alias("new")).join(names, "key", "left")
     fresh = F.transform("new", lambda m: F.coalesce(m["new"], _renamed_name(m["name"], F.col("names"))))
-    placed = pin(placed.select(F.col("key").alias("__key"), fresh.alias("__new"), F.col("names").alias("__names")), "placed")
+    placed = pin(placed.select(F.col("key").alias(row_key), fresh.alias(row_new), F.col("names").alias(row_names)), "placed")
 
     def untitled(part: Column) -> Column:
         return F.regexp_extract_all(part, F.lit(_UNTITLED), F.lit(0))
 
     def renamed(part: Column) -> Column:
-        put = lambda rest, word: F.concat(rest, F.coalesce(_renamed_untitled(word, F.col("__names")), F.lit("")))
+        put = lambda rest, word: F.concat(rest, F.coalesce(_renamed_untitled(word, F.col(row_names)), F.lit("")))
         return F.array_join(F.zip_with(F.split(part, _UNTITLED, -1), untitled(part), put), "")
 
     between = F.split(here, pattern, -1)
-    between = F.when(F.col("__names").isNotNull(), F.transform(between, renamed)).otherwise(between)
-    parts = F.zip_with(between, "__new", lambda part, new: F.concat(part, F.coalesce(new, F.lit(""))))
-    changed = docs.where(may_have).withColumn("__key", F.md5(text)).join(placed, "__key", "left")
+    between = F.when(F.col(row_names).isNotNull(), F.transform(between, renamed)).otherwise(between)
+    parts = F.zip_with(between, row_new, lambda part, new: F.concat(part, F.coalesce(new, F.lit(""))))
+    changed = docs.where(may_have).withColumn(row_key, F.md5(here)).join(placed, row_key, "left")
     other = F.flatten(F.transform(F.split(here, pattern, -1), untitled))
-    other = F.size(F.filter(other, lambda w: _renamed_untitled(w, F.col("__names")) != w))
-    count = F.coalesce(F.size("__new"), F.lit(0)) + F.when(F.col("__names").isNotNull(), other).otherwise(0)
-    replaced = F.when(F.col("__new").isNotNull(), F.array_join(parts, "")).otherwise(here).alias(text)
-    rows = changed.select(*(replaced if name == text else F.col(name) for name in docs.columns), count.alias("__entities"))
-    return rows.unionByName(docs.where(~may_have).withColumn("__entities", F.lit(0)))
+    other = F.size(F.filter(other, lambda w: _renamed_untitled(w, F.col(row_names)) != w))
+    mentioned = F.coalesce(F.size(row_new), F.lit(0)) + F.when(F.col(row_names).isNotNull(), other).otherwise(0)
+    replaced = F.when(F.col(row_new).isNotNull(), F.array_join(parts, "")).otherwise(here).alias(text)
+    rows = changed.select(*(replaced if name == text else own(name) for name in docs.columns), mentioned.alias(count))
+    return rows.unionByName(docs.where(~may_have).withColumn(count, F.lit(0)))

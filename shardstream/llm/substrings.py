@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardstream.llm.arrow import batch, fields, map_arrow
+from shardstream.llm.columns import own
 from shardstream.llm.words import Words, blocks, mix, powers, shingles
 from shardstream.shared import pin
 
@@ -197,9 +198,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """The documents, all columns, with ``text`` changed where words of it were removed."""
-    cut = _remove(docs.select("text", F.struct(*(name for name in docs.columns if name != "text")).alias("row")))
+    cut = _remove(docs.select("text", F.struct(*(own(name) for name in docs.columns if name != "text")).alias("row")))
     text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")).alias("text")
-    return cut.select(*(text if name == "text" else F.col(f"row.`{name}`").alias(name) for name in docs.columns))
+    return cut.select(*(text if name == "text" else F.col("row").getField(name).alias(name) for name in docs.columns))
 
 
 def _remove(docs: DataFrame) -> DataFrame:
