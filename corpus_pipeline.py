@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardstream.llm import minhash, packing, pii, rules, substrings
+from shardstream.llm.columns import own, unused
 from shardstream.shared import pin
 
 
@@ -19,9 +20,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the rules keep. A verdict depends on the text alone and is joined by
     it, so each row gets its own, also without an id or with one that others share."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    rows = docs.withColumn("__key", F.unhex(F.md5("text")))
-    kept = rules.judge(rows, labels, more=("__key",)).where("kept").select("__key").distinct()
-    return rows.join(pin(kept, "kept"), "__key", "left_semi").select(docs.columns)
+    key = unused(docs, "__key")
+    rows = docs.withColumn(key, F.unhex(F.md5("text")))
+    kept = rules.judge(rows, labels, more=(key,)).where("kept").select(key).distinct()
+    return rows.join(pin(kept, "kept"), key, "left_semi").select(*map(own, docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data."""
-    replaced = pii.replace_entities(docs).select(docs.columns)
+    replaced = pii.replace_entities(docs).select(*map(own, docs.columns))
     return replaced.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
