@@ -76,7 +76,8 @@ def number_records(
     if largest <= rows_per_task and total <= rows_per_task * tasks:
         in_shard = Window.partitionBy(*SHARD).orderBy(*order_by)
         place = F.row_number().over(in_shard).cast("bigint")
-        return routed.withColumn("sequence_number", place + F.lit(base - 1))
+        # Brought together first, so that the order's digests are made behind the shuffle.
+        return routed.repartition(*SHARD).withColumn("sequence_number", place + F.lit(base - 1))
 
     ranges = max(tasks, min(ceil(total / rows_per_task), MOST_RANGES))
     staging = staging or shared.scratch_path(spark, "numbering")
@@ -88,7 +89,7 @@ def _columns(names: list[Column | str]) -> list[Column]:
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -100,12 +101,15 @@ def _number_by_range(
     # reads them and after a task is lost, so both are written before they are used.
     order = {f"order_{at}": by for at, by in enumerate(_columns(order_by))}
     given = _written(routed, f"{staging}/given")
+    # The shuffle cuts by the order's expressions and takes along no columns for them; those
+    # are made behind it, once a record, for the sort.
     placed = _written(
-        given.withColumns({**order, "position": F.monotonically_increasing_id()})
-        .repartitionByRange(ranges, *SHARD, *order, "position")
+        given.withColumn("position", F.monotonically_increasing_id())
+        .repartitionByRange(ranges, *SHARD, *order.values(), "position")
         .drop("position")
+        .withColumns(order)
         .sortWithinPartitions(*SHARD, *order)
-        .drop(*order)
+        .drop(*order, "sequence_number")  # one it came with may be in the order
         # (range << 33) + row in the range
         .withColumn("place", F.monotonically_increasing_id())
         .withColumn("range", F.shiftright("place", 33)),
@@ -127,10 +131,18 @@ def _number_by_range(
     return (
         placed.join(shared.pin(offsets, "offsets"), [*SHARD, "range"])
         .withColumn("sequence_number", F.col("place") + F.col("shift") + F.lit(base))
-        .drop("place", "range", "shift")
+        .select(*dict.fromkeys([*given.columns, "sequence_number"]))
     )
 
 
+def _needed(routed: DataFrame, order_by: list[Column | str] | None) -> DataFrame:
+    """The columns that numbering and landing use; all of them where the order has expressions."""
+    if not all(isinstance(by, str) for by in order_by or []):
+        return routed
+    names = [field.name for field in RECORD if field.name != "sequence_number"]
+    return routed.select(*dict.fromkeys([*names, *(order_by or [])]))
+
+
 def put_records(
     routed: DataFrame,
     log_dir: str,
@@ -168,7 +180,7 @@ def put_records(
         )
         try:
             numbered = number_records(
-                named, order_by, batch_id * BATCH_SPAN, rows_per_task=rows_per_task, staging=staging
+                _needed(named, order_by), order_by, batch_id * BATCH_SPAN, rows_per_task=rows_per_task, staging=staging
             )
             (
                 numbered.select([F.col(f.name).cast(f.dataType) for f in RECORD])

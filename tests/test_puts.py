@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import random
+import re
 from collections import Counter
 from pathlib import Path
 
@@ -26,6 +27,7 @@ from shardstream import (
     shard_positions,
     shared,
 )
+from shardstream.operators import puts
 from shardstream.operators.puts import BATCH_SPAN
 from shardstream.shared import scratch_path
 from shardstream.sources import commits
@@ -296,3 +298,50 @@ def test_sizes_are_counted_on_the_key_columns(spark, folder):
     _put(spark, ROWS, folder)
     counted = read_log(spark, folder).groupBy("stream", "shard_id").count()
     assert "ReadSchema: struct<>" in plan_of(counted)
+
+
+def _shuffled(df):
+    """The columns that each shuffle of a plan takes along."""
+    return [
+        {re.sub("#.*", "", name) for name in names.split(", ")}
+        for names in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan_of(df))
+    ]
+
+
+LANDED = {"stream", "shard_id", "partition_key", "arrival_ts", "data"}
+
+
+def test_a_put_stages_and_shuffles_only_what_it_needs(spark, folder, monkeypatch):
+    given, shuffled, written = [], [], puts._written
+
+    def watched(df, path):
+        if path.endswith("/given"):
+            given.append(set(df.columns))
+        else:
+            shuffled.append(_shuffled(df))
+        return written(df, path)
+
+    monkeypatch.setattr(puts, "_written", watched)
+    routed = route_records(unrouted(spark, ROWS), "partition_key", 4)
+    routed = routed.withColumn("rank", F.xxhash64("data")).withColumn("wide", F.repeat(F.lit("x"), 100))
+    put_records(routed, folder, 0, ["rank"], rows_per_task=10)
+    assert given == [LANDED | {"rank"}]
+    assert shuffled == [[LANDED | {"rank", "position"}]]
+    assert _shuffled(number_records(routed.drop("rank", "wide"))) == [LANDED]
+
+
+@pytest.mark.parametrize("rows_per_task", [10, 1000])
+@pytest.mark.parametrize("by_name", [True, False])
+def test_a_put_in_the_order_of_a_column_that_is_not_landed(spark, folder, rows_per_task, by_name):
+    order_by = ["rank" if by_name else F.col("rank") * 2]
+    routed = route_records(unrouted(spark, ROWS), "partition_key", 4)
+    routed = routed.withColumn("rank", -F.col("data").cast("string").cast("int"))
+    put_records(routed.withColumn("sequence_number", F.lit(7)), folder, 0, order_by, rows_per_task=rows_per_task)
+    order = {}
+    for stream, shard_id, number, _, data in landed(read_log(spark, folder)):
+        order.setdefault((stream, shard_id), []).append((number, int(data)))
+    for found in order.values():
+        assert [number for number, _ in sorted(found)] == list(range(len(found)))
+        ranks = [rank for _, rank in sorted(found)]
+        assert ranks == sorted(ranks, reverse=True)
+    assert sum(map(len, order.values())) == len(ROWS)
