@@ -1,6 +1,7 @@
 """Byte-level BPE in DuckDB queries that run inside each partition.
 
-Texts are split by the tokenizer's pattern. The distinct new words of a block go to a
+Texts are split by the tokenizer's pattern. A block's pieces are coded by an Arrow
+dictionary, so Python meets each distinct one once. The new words among them go to a
 recursive query: a row per word and token position, joined with the merge table; each
 step contracts every word's leftmost pair of least rank, until no pair of any word is in
 the table. Decoding joins ids with the vocabulary and aggregates bytes in id order.
@@ -19,6 +20,7 @@ import re
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,32 +29,33 @@ from pyspark.sql import types as T
 from shardstream.llm.arrow import batch, fields, map_arrow
 from shardstream.llm.words import blocks
 
-#: Pieces of text, and words, whose ids a Python worker keeps; beyond it a cache starts anew.
-CACHED_PIECES, CACHED_WORDS = 150_000, 450_000
+#: Words and longer pieces of text whose ids a Python worker keeps; beyond it the cache starts anew.
+CACHED_WORDS = 450_000
 #: Distinct words of one recursive query, and ids of one decoding query.
 QUERY_WORDS, QUERY_IDS = 10_000, 1 << 17
 #: Bytes beyond which a word's pairs are kept in a heap: the query's steps, each over
 #: all positions of a word, would take time with the square of its length.
 LONG_WORD = 256
 
-_ENCODE = """
+#: All in 32 bits: a pair's rank and its place, below ``LONG_WORD``, make one number.
+_ENCODE = f"""
 WITH RECURSIVE step(word, pos, id, next_pos, next_id, turn) AS (
   SELECT word, pos, id, next_pos, next_id, 0 FROM start
   UNION ALL
   (WITH best AS (
-     SELECT word, min(rank * 65536 + pos) AS pick, arg_min(next_pos, rank * 65536 + pos) AS gone
+     SELECT word, min(rank * {LONG_WORD} + pos) AS pick, arg_min(next_pos, rank * {LONG_WORD} + pos) AS gone
      FROM step JOIN merges ON a = id AND b = next_id GROUP BY word),
    made AS (
-     SELECT b.word, pick % 65536 AS pos, pick // 65536 AS id, gone, g.next_pos, g.next_id
+     SELECT b.word, pick % {LONG_WORD} AS pos, pick // {LONG_WORD} AS id, gone, g.next_pos, g.next_id
      FROM best b JOIN step g ON g.word = b.word AND g.pos = b.gone)
    SELECT s.word, s.pos, if(s.pos = m.pos, m.id, s.id),
           if(s.pos = m.pos, m.next_pos, s.next_pos),
           if(s.pos = m.pos, m.next_id, if(s.next_pos = m.pos, m.id, s.next_id)), turn + 1
    FROM step s JOIN made m USING (word) WHERE s.pos <> m.gone)
 )
-SELECT word, list(id ORDER BY pos) AS ids
+SELECT word, id
 FROM step JOIN (SELECT word, max(turn) AS turn FROM step GROUP BY word) USING (word, turn)
-GROUP BY word ORDER BY word
+ORDER BY word, pos
 """
 
 _DECODE = """
@@ -72,8 +75,8 @@ class _Coder:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.pattern = regex.compile(pattern)
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        # Of words, and of pieces that are several; a word on its own is one match again.
+        self.ids: dict[str, bytes] = {"": b""}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         self.can_encode = False
         # Bytes travel as the characters of the same numbers.
@@ -87,14 +90,15 @@ class _Coder:
             for i in range(1, len(token))
             if token[:i] in self.ranks and token[i:] in self.ranks
         ]
-        return pa.table(dict(zip(("a", "b", "rank"), zip(*merges, strict=True), strict=True)))
+        columns = [pa.array(column, pa.int32()) for column in zip(*merges, strict=True)]
+        return pa.table(dict(zip(("a", "b", "rank"), columns, strict=True)))
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.db.register("given", rows)
         self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
-    def _contract(self, words: list[str]) -> list[list[int]]:
+    def _contract(self, words: list[str]) -> list[bytes]:
         encoded = [word.encode() for word in words]
         lengths = np.array([len(word) for word in encoded])
         last = np.cumsum(lengths) - 1
@@ -105,7 +109,10 @@ class _Coder:
         columns = {"word": np.repeat(np.arange(len(words)), lengths), "pos": pos, "id": ids}
         start = columns | {"next_pos": next_pos, "next_id": next_id}
         self.db.register("start", pa.table({k: v.astype(np.int32) for k, v in start.items()}))
-        return [ids for _, ids in self.db.execute(_ENCODE).fetchall()]
+        found = self.db.execute(_ENCODE).fetchnumpy()
+        flat = found["id"].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(found["word"], minlength=len(words)))).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def _contract_long(self, word: str) -> list[int]:
         """The same contraction with the pairs in a heap by rank and place."""
@@ -134,35 +141,48 @@ class _Coder:
         return [self.ranks[part] for part in parts if part is not None]
 
     def _learn_words(self, words: set[str]) -> None:
-        new = words.difference(self.words)
-        if len(self.words) + len(new) > CACHED_WORDS:
-            self.words.clear()
-            new = words
         short = []
-        for word in new:
+        for word in words:
             if len(word) * 4 <= LONG_WORD or len(word.encode()) <= LONG_WORD:
                 short.append(word)
             else:
-                self.words[word] = np.array(self._contract_long(word), "<i4").tobytes()
+                self.ids[word] = np.array(self._contract_long(word), "<i4").tobytes()
         for i in range(0, len(short), QUERY_WORDS):
             some = short[i : i + QUERY_WORDS]
-            for word, ids in zip(some, self._contract(some), strict=True):
-                self.words[word] = np.array(ids, "<i4").tobytes()
+            self.ids.update(zip(some, self._contract(some), strict=True))
+
+    def _learn(self, pieces: list[str]) -> None:
+        new = set(pieces).difference(self.ids)
+        if len(self.ids) + len(new) > CACHED_WORDS:
+            self.ids = {"": b""}
+            new = set(pieces).difference(self.ids)
+        found = {piece: self.pattern.findall(piece) for piece in new if not _is_word(piece)}
+        words = set().union(*found.values()).difference(self.ids)
+        self._learn_words(words.union(new.difference(found)))
+        for piece, words in found.items():
+            if len(words) > 1:
+                self.ids[piece] = b"".join([self.ids[word] for word in words])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text behind the other, and how many each has."""
         if not self.can_encode:
             self._table("merges", self._merges())
             self.can_encode = True
-        split = [_pieces(text) for text in texts]
-        new = set().union(*split).difference(self.pieces)
-        if len(self.pieces) + len(new) > CACHED_PIECES:
-            self.pieces.clear()
-            new = set().union(*split)
-        found = {piece: [piece] if _is_word(piece) else self.pattern.findall(piece) for piece in new}
-        self._learn_words(set().union(*found.values()))
-        for piece, words in found.items():
-            self.pieces[piece] = b"".join([self.words[word] for word in words])
-        return [b"".join([self.pieces[piece] for piece in pieces]) for pieces in split]
+        lists = pc.split_pattern(pa.array([_marked(text) for text in texts], pa.large_string()), _MARK)
+        count = lists.value_lengths().to_numpy()
+        first = np.cumsum(count, dtype=np.int64) - count
+        coded = lists.flatten().dictionary_encode()
+        code, pieces = coded.indices.to_numpy().copy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        for at, text in enumerate(texts):
+            if _MARK in text:
+                code[first[at]] = len(pieces)
+                pieces.append(text)
+        self._learn(pieces)
+        ids = [self.ids[piece] for piece in pieces]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begin, sizes = np.cumsum(size) - size, size[code]
+        at = np.repeat(begin[code] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return np.frombuffer(b"".join(ids), "<i4")[at], np.add.reduceat(sizes, first)
 
     def decode(self, ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
         """The bytes of each run of ``lengths`` ids."""
@@ -178,21 +198,26 @@ class _Coder:
 #: A space between other white space: the pattern's matches may run across it.
 _INNER_SPACE = regex.compile(r"\s (?:\s|$)")
 #: Marks between a letter and white space, and a line end between other characters: matches of their own.
-_ALONE = re.compile(r"(?<=[a-z])[.,!?;:]+(?=\s)|(?<=\S)\n(?=\S)")
+#: They begin with a set of characters, which the search skips to.
+_ALONE = re.compile(r"[.,!?;:\n](?:(?<=[a-z][.,!?;:])[.,!?;:]*(?=\s)|(?<=\S\n)(?=\S))")
+
+
+_MARK = "\0"
 
 
-def _pieces(text: str) -> list[str]:
-    """Pieces that the pattern splits independently of each other.
+def _marked(text: str) -> str:
+    """A text with marks between the pieces that the pattern splits independently of each other.
 
     A space before something else begins a match, and one behind something else cannot
     lie within one, so a text may be cut before each unless white space is on both sides.
-    What is a match of its own is cut out.
+    What is a match of its own is cut out. Pieces may be empty. A text that has the mark
+    itself is one piece, which has to be taken as it is; for it there is an empty one.
     """
-    if not text:
-        return []
-    if _INNER_SPACE.search(text) or "\0" in text:
-        return [text]
-    return list(filter(None, _ALONE.sub("\0\\g<0>\0", text).replace(" ", "\0 ").split("\0")))
+    if _MARK in text:
+        return ""
+    if _INNER_SPACE.search(text):
+        return text
+    return _ALONE.sub(f"{_MARK}\\g<0>{_MARK}", text).replace(" ", f"{_MARK} ")
 
 
 def _is_word(piece: str) -> bool:
@@ -213,10 +238,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
     def run(batches):
         coder = _coder(ranks_path, pattern)
         for block in blocks(batches, "text", 1 << 19):
-            ids = coder.encode(block.column("text").fill_null("").to_pylist())
-            offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
-            flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            yield batch(schema, block.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), flat))
+            ids, lengths = coder.encode(block.column("text").fill_null("").to_pylist())
+            offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+            yield batch(schema, block.column("doc_id"), lists)
 
     schema = fields(doc_id=docs.schema[doc_id].dataType, ids=T.ArrayType(T.IntegerType()))
     return map_arrow(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), run, schema)
@@ -233,11 +258,11 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             flat = column.flatten().to_numpy(zero_copy_only=False)
             ends = np.cumsum(lengths)
             cuts = [0, *(np.flatnonzero(np.diff(ends // QUERY_IDS)) + 1), len(lengths)]
-            decoded = []
+            # A batch for each query: a worker holds the bytes of one only.
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if a < b:
-                    decoded += coder.decode(flat[ends[a] - lengths[a] : ends[b - 1]], lengths[a:b])
-            yield batch(schema, *rows.columns, pa.array(decoded, pa.binary()))
+                    decoded = coder.decode(flat[ends[a] - lengths[a] : ends[b - 1]], lengths[a:b])
+                    yield batch(schema, *rows.slice(a, b - a).columns, pa.array(decoded, pa.binary()))
 
     encoded = encoded.select("doc_id", "ids")
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])

@@ -421,6 +421,55 @@ def test_bpe_agrees_with_tiktoken(spark, docs, empty, texts):
     assert bpe.encode(empty, path, public_tokenizers.PATTERN).count() == 0
 
 
+class _Counted(dict):
+    """A cache that counts what is written to it."""
+
+    written = 0
+
+    def update(self, *pairs, **more):
+        for key, value in dict(*pairs, **more).items():
+            self[key] = value
+
+    def __setitem__(self, key, value):
+        self.written += 1
+        super().__setitem__(key, value)
+
+
+def test_bpe_learns_each_word_once_and_starts_anew_when_full(monkeypatch):
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding(
+        "own",
+        pat_str=public_tokenizers.PATTERN,
+        mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))},
+        special_tokens={},
+    )
+    coder = bpe._Coder(path, public_tokenizers.PATTERN)
+    coder.ids = _Counted(coder.ids)
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdeé日ß", k=rng.randrange(1, 12))) for _ in range(60)]
+    marks = [" ", "  ", "\n", ". ", ",\n", "'s ", "12 ", "\0", " \0 ", "\t\n", "\U0010ffff", "ab.,\n\nx", "q" * 300]
+    texts = ["", "\0", "\0\0", " "]
+    texts += ["".join(rng.choice(words) + rng.choice(marks) for _ in range(rng.randrange(30))) for _ in range(200)]
+
+    def check(texts):
+        ids, lengths = coder.encode(texts)
+        ends = np.cumsum(lengths)
+        assert [ids[b - n : b].tolist() for b, n in zip(ends, lengths, strict=True)] == [library.encode_ordinary(t) for t in texts]
+
+    plain = [" ".join(words)] * 2
+    check(plain)
+    # A word that is a piece is kept once, not as a word and as a piece again.
+    assert coder.ids.written == len(set(coder.pattern.findall(plain[0])))
+    check(texts)
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 40)
+    check(texts[:50])
+    check(plain)
+    check(texts[50:])
+    check(texts[:4])
+
+
 # 10: near-duplicate documents
 
 
